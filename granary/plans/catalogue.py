@@ -1,9 +1,9 @@
-"""The registered catalogue queries, each with its SQL."""
+"""All registered catalogue queries, each with its SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from granary.plans import clustering, inventory, views  # noqa: F401  (they register)
+from granary.plans.registry import QUERIES, SQL
 
 
 def queries() -> dict:
