@@ -151,7 +151,7 @@ def write_archives(pages: DataFrame, root: str, id_col: str = "page_id", url_col
         def close() -> pa.RecordBatch:
             path = f"{where}/{uuid.uuid4().hex}.warc.zst"
             files.create_dir(where, recursive=True)
-            with files.open_output_stream(path) as f:
+            with files.open_output_stream(path, compression=None) as f:
                 f.write(archive(held))
             out = pa.RecordBatch.from_pydict({"path": [path.rpartition("/")[2]], "records": [len(held)], "raw_bytes": [sum(map(len, held))]})
             held.clear()
@@ -186,7 +186,7 @@ def read_archives(manifest: DataFrame, root: str, with_payload: bool = False) ->
         for b in batches:
             for path in b.column(0).to_pylist():
                 rows = []
-                with files.open_input_stream(f"{where}/{path}") as f:
+                with files.open_input_stream(f"{where}/{path}", compression=None) as f:
                     data = f.read()
                 for raw in records_of(data):
                     head, payload = parse_record(raw)
