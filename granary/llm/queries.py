@@ -129,5 +129,81 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+
+WORDS_SQL = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+def _op1_sql() -> str:
+    """Brute force over deletion strings: a key per line less one word, and per whole line."""
+    return f"""
+WITH raw AS (SELECT doc_id, COALESCE(text, '') AS text, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM raw),
+w AS (SELECT doc_id, pos, {WORDS_SQL.format("line")} AS w FROM lines),
+e AS (SELECT doc_id, pos, array_to_string(w, ' ') AS line, w FROM w WHERE len(w) >= {MIN_WORDS}),
+d AS (SELECT line, MIN((doc_id, pos)) AS place, ANY_VALUE(w) AS w FROM e GROUP BY line),
+v AS (SELECT place, line AS k FROM d UNION ALL SELECT place, array_to_string(list_concat(w[1:i], w[i + 2:]), ' ') AS k FROM (SELECT place, w, unnest(range(len(w))) AS i FROM d)),
+m AS (SELECT k, MIN(place) AS first FROM v GROUP BY k HAVING COUNT(DISTINCT place) > 1),
+near AS (SELECT DISTINCT v.place FROM v JOIN m ON m.k = v.k WHERE v.place > m.first),
+gone AS (SELECT e.doc_id, e.pos FROM e JOIN d ON d.line = e.line LEFT JOIN near ON near.place = d.place WHERE near.place IS NOT NULL OR d.place <> (e.doc_id, e.pos)),
+out AS (SELECT l.doc_id, COUNT(*) AS n_lines, COUNT(gone.pos) AS n_dropped_lines, string_agg(CASE WHEN gone.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos) AS kept FROM lines l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.pos = l.pos GROUP BY l.doc_id)
+SELECT o.doc_id, CASE WHEN s.text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dropped_lines, CASE WHEN s.text IS NOT NULL THEN length(COALESCE(kept, '')) END AS kept_chars, CASE WHEN s.text IS NOT NULL THEN md5(COALESCE(kept, '')) END AS kept_md5
+FROM out o JOIN documents s ON s.doc_id = o.doc_id"""
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html, strlen(COALESCE(html, '')) AS n FROM pages),
+r AS (SELECT *, sha256(html) AS digest, MIN(page_id) OVER (PARTITION BY sha256(html)) AS first FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM r"""
+
+
+def _op4_sql() -> str:
+    rows = []
+    for i, label, base, text in templates():
+        w = text.split()
+        rows += [f"('{' '.join(w[j : j + K])}', {i}, '{label}', {base}, {j}, {len(w) - K + 1})" for j in range(len(w) - K + 1)]
+    words = r"list_filter(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return f"""
+WITH t(gram, template, label, base, pos, n) AS (VALUES {", ".join(rows)}),
+d AS (SELECT doc_id, {words} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1:i + {K}], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(len(w) - {K - 1})) AS i FROM d)),
+votes AS (SELECT doc_id, template, label, base, n, i - pos AS diagonal, list_distinct(list(pos)) AS ats FROM g JOIN t USING (gram) GROUP BY 1, 2, 3, 4, 5, 6),
+steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {MAX_SHIFT} THEN 1 ELSE 0 END AS step FROM votes),
+numbered AS (SELECT *, SUM(step) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM steps),
+spans AS (SELECT doc_id, template, label, base, n, span, len(list_distinct(flatten(list(ats)))) AS found, SUM(CASE WHEN len(ats) = n THEN 1 ELSE 0 END) AS places,
+ MIN(CASE WHEN len(ats) = n THEN diagonal END) AS first, MAX(CASE WHEN len(ats) = n THEN diagonal END) AS last FROM numbered GROUP BY 1, 2, 3, 4, 5, 6),
+s AS (SELECT doc_id, CAST(COALESCE(SUM(CASE WHEN base THEN places END), 0) AS BIGINT) AS n_base, MIN(CASE WHEN base THEN first END) AS first_word, MAX(CASE WHEN base THEN last END) AS last_word,
+ COALESCE(string_agg(DISTINCT CASE WHEN base AND places > 0 THEN label END, ',' ORDER BY CASE WHEN base AND places > 0 THEN label END), '') AS base_labels,
+ COALESCE(string_agg(DISTINCT CASE WHEN (base AND places > 0) OR (NOT base AND found / n::DOUBLE >= {MIN_COVER}) THEN label END, ',' ORDER BY CASE WHEN (base AND places > 0) OR (NOT base AND found / n::DOUBLE >= {MIN_COVER}) THEN label END), '') AS labels,
+ MAX(found / n::DOUBLE) AS score FROM spans GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, COALESCE(score, 0.0) AS score FROM d LEFT JOIN s ON s.doc_id = d.doc_id"""
+
+
+def _op5_sql() -> str:
+    from granary.llm.quality import BOILERPLATE, END, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MIN_WORDS as LEAST, NAV_MARKS, SYMBOLS
+
+    def re2(p: str) -> str:
+        import re
+
+        return re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", p)
+
+    fails = (
+        f"(12 * (length(l) - length(regexp_replace(l, '[#*$%&|<>{{}}~^=_\\\\]+', '', 'g'))) > length(l) OR regexp_matches(l, '{re2(f'(?: {NAV_MARKS} [^ ]+){{3}}')}')"
+        f" OR (length(l) < 200 AND regexp_matches(l, '(?i)\\b({'|'.join(BOILERPLATE)})\\b')) OR (length(l) > 400 AND NOT regexp_matches(right(l, 12), '{re2(END).replace(chr(39), chr(39) * 2)}')))"
+    )
+    return f"""
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS text, {WORDS_SQL.format("COALESCE(text, '')")} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 3], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(len(w) - 2)) AS i FROM d)),
+again AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, gram) AS c FROM g),
+covered AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) o(k) WHERE c > 1 GROUP BY doc_id),
+x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d),
+lines AS (SELECT doc_id, l, {fails} AS bad FROM x WHERE regexp_matches(l, '[^ \\x09-\\x0D]')),
+s AS (SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) - COUNT(DISTINCT l) AS n_dup_lines, CAST(SUM(bad::INT) AS BIGINT) AS n_bad_lines, CAST(SUM(CASE WHEN bad THEN length(l) ELSE 0 END) AS BIGINT) AS lost, CAST(SUM(length(l)) AS BIGINT) AS chars FROM lines GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(text) - length(regexp_replace(text, '{SYMBOLS}', '', 'g')) AS n_symbols, COALESCE(n_dup_lines, 0) AS n_dup_lines, COALESCE(covered.n, 0) AS n_repeat_words,
+ COALESCE(n_lines, 0) AS n_lines, COALESCE(n_bad_lines, 0) AS n_bad_lines, COALESCE(lost, 0) AS lost_chars, COALESCE(chars, 0) AS chars FROM d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN covered ON covered.doc_id = d.doc_id),
+b AS (SELECT *, n_words < {LEAST} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_bad_lines, lost_chars, base_failed, NOT base_failed AND 100 * lost_chars <= {MAX_LOST_PERCENT} * chars AS kept FROM b"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the operators it can express; the others are held against brute force in tests."""
+    return {"op1_line_dedup": _op1_sql(), "op3_warc": OP3_SQL, "op4_license_scan": _op4_sql(), "op5_quality_rules": _op5_sql()}
