@@ -24,7 +24,7 @@ def replay(edges: list[tuple[int, int]], vetoes: list[tuple[int, int]]) -> dict[
         ra, rb = find(a), find(b)
         if ra != rb and not any({find(x), find(y)} == {ra, rb} for x, y in vetoes):
             root[max(ra, rb)] = min(ra, rb)
-    return {x: find(x) for x in list(root)}
+    return {x: find(x) for e in edges for x in e}
 
 
 def constrained_components(edges: DataFrame, vetoes: DataFrame) -> DataFrame:
