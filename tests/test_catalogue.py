@@ -201,3 +201,37 @@ def test_resume_handles_each_file_once(spark, tmp_path):
     spark.range(5).write.mode("append").parquet(f"{tmp_path}/in")
     run()
     assert sum(seen) == 15
+
+
+def test_titles(spark):
+    from pyspark.sql import functions as F
+
+    from granary.functions import titles
+
+    assert titles.clean_tag("Jackson, Michael") == "Michael Jackson" and titles.clean_tag("Unknown Artist") is None and titles.clean_tag("Earth, Wind & Fire") == "Earth, Wind & Fire"
+    assert titles.title_agreement("Stay (I Missed You)", "Stay") == 1.0 and titles.artist_agreement("Prince", "Prince and The Revolution") == 0.95
+    df = spark.createDataFrame([("שלום", "shalom"), ("שלום shalom", "shalom"), ("Hello", "Hello")], "a string, b string")
+    assert [r[0] for r in df.select(titles.transliteration_guard(F.col("a"), F.col("b"), F.lit(False))).collect()] == [False, True, True]
+
+
+def test_evaluate_prefers_accepted_candidates(spark):
+    from granary.operators.matching import evaluate
+
+    asked = spark.createDataFrame([(1, "Queen", "Radio Ga Ga"), (2, "Waterloo", "Abba"), (3, None, "Alone")], "item long, artist string, title string")
+    cand = [(1, False, "x", 99, "Other", "Thing"), (1, False, "y", 95, "Queen", "Radio Ga Ga"), (2, False, "z", 40, "A", "B"), (2, True, "w", 96, "Abba", "Waterloo"), (3, False, "v", 96, "Q", "Alone")]
+    got = {r["item"]: (r["candidate_id"], r["band"]) for r in evaluate(asked, spark.createDataFrame(cand, "item long, swapped boolean, id string, score int, artist string, title string")).collect()}
+    assert got == {1: ("y", "accept"), 2: ("w", "accept"), 3: ("v", "review")}
+
+
+def test_entry_without_the_training_data_package(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).parent.parent
+    shutil.copytree(root / "granary", tmp_path / "granary", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(x.startswith('op') for x in e.queries()))"], cwd=tmp_path, capture_output=True, text=True, check=True)
+    n, sql, llm = out.stdout.split()
+    assert int(n) >= int(sql) > 60 and llm == "False"
