@@ -80,3 +80,25 @@ def test_cards_and_pairs(spark):
     listing = spark.createDataFrame([("d", "S", "mp3", "a", "d/S.mp3"), ("d", "s", "cdg", "g", "d/s.cdg"), ("e", "x", "mp3", "a", "1"), ("e", "x", "mp3", "b", "2"), ("e", "x", "cdg", "g", "3")], "dir string, stem string, ext string, md5 string, path string")
     pairs, collisions = items.content_pairs(listing, "mp3", "cdg")
     assert [tuple(r) for r in pairs.collect()] == [("a", "g", 1, "d/S.mp3")] and collisions.count() == 1
+
+
+def test_entities(spark):
+    import hashlib
+    import json
+
+    from pyspark.sql import functions as F
+
+    from granary.functions import entities as en
+
+    snak = lambda v: {"mainsnak": {"snaktype": "value", "datavalue": {"value": v}}}
+    body = json.dumps({"entities": {"Q1": {"labels": {"he": {"value": "x"}}, "claims": {"P31": [snak({"id": "Q5"})], "P571": [snak({"time": "+1965-00-00T00:00:00Z"})]}}, "Q2": {"claims": {"P175": [snak({"id": "Q1"})], "P577": [{"mainsnak": {"snaktype": "novalue"}}]}}}})
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    cache = spark.createDataFrame([(sha("s/a"), '{"search": [{"id": "Q1"}, {"id": "Q2"}]}'), (sha("e/Q1|Q2"), body)], "query_hash string, response_json string")
+    asked = spark.createDataFrame([(1, "a"), (2, "b")], "item long, term string")
+    got, misses = en.lookup(asked, cache, lambda c: F.concat(F.lit("s/"), c), lambda c: F.concat(F.lit("e/"), F.array_join(c, "|")))
+    e = F.col("entity")
+    rows = {r["id"]: tuple(r)[1:] for r in got.select("id", en.is_artist(e).alias("a"), en.is_work(e).alias("w"), en.entity_year(e).alias("y"), en.label(e).alias("l")).collect()}
+    assert rows == {"Q1": (True, False, "1965", "x"), "Q2": (False, True, None, None)}
+    assert [tuple(r) for r in misses.collect()] == [(2, "s/b")]
+    assert en.strip_credit("משה פרץ שרים") == "משה פרץ" and en.strip_credit("שר") == "שר"
+    assert en.segment("ילדה קטנה משה פרץ שרים", ["משה פרץ"]) == ("משה פרץ", "ילדה קטנה") and en.segment("משה פרץ", ["משה פרץ"]) is None
