@@ -138,11 +138,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     drops = _dropped(docs, id_col, text_col)
     text = F.col(text_col)
     keyed = docs.drop("n_lines", "n_dropped_lines").withColumn("__tk", F.xxhash64(F.coalesce(text, F.lit(""))))
-    out = keyed.join(drops.select(F.col("id").alias("__id"), F.col("tk").alias("__tk2"), "drops"), (F.col("__tk") == F.col("__tk2")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    out = keyed.join(drops.select(F.col("id").alias("__id"), F.col("tk").alias("__tk2"), F.col("drops").alias("__drops")), (F.col("__tk") == F.col("__tk2")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
     ls = F.split(text, "\n")
-    kept = F.array_join(F.filter(ls, lambda x, i: ~F.array_contains("drops", i)), "\n")
+    kept = F.array_join(F.filter(ls, lambda x, i: ~F.array_contains("__drops", i)), "\n")
     return out.withColumns({
         "n_lines": F.when(text.isNull(), 0).otherwise(F.size(ls)).cast("long"),
-        "n_dropped_lines": F.coalesce(F.size("drops"), F.lit(0)).cast("long"),
-        text_col: F.when(F.col("drops").isNull(), text).otherwise(kept),
-    }).drop("__tk", "__tk2", "__id", "drops")
+        "n_dropped_lines": F.coalesce(F.size("__drops"), F.lit(0)).cast("long"),
+        text_col: F.when(F.col("__drops").isNull(), text).otherwise(kept),
+    }).drop("__tk", "__tk2", "__id", "__drops")

@@ -95,7 +95,7 @@ def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each near-duplicate group; of rows equal in id and text one."""
     groups = simhash_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    keep = docs.join(groups.withColumnRenamed("doc_id", "k"), F.col("doc_id").eqNullSafe(F.col("k"))).drop("k")
+    keep = docs.join(groups.withColumnRenamed("doc_id", "__k"), F.col("doc_id").eqNullSafe(F.col("__k"))).drop("__k")
     return keep.dropDuplicates(["doc_id"]).select(*docs.columns)
 
 

@@ -362,3 +362,22 @@ def test_pipeline(spark, tmp_path):
         out.write.parquet(f"{tmp_path}/{i}")
         docs = spark.read.parquet(f"{tmp_path}/{i}")
     assert docs.count() > 0
+
+
+def test_extra_and_clashing_columns(spark, docs):
+    """Columns that operators use as names of their own do not disturb them."""
+    from pyspark.sql import functions as F
+
+    from granary.llm.license_scan import license_scan
+    from granary.llm.line_dedup import line_dedup
+    from granary.llm.mixing import mix
+    from granary.llm.quality import quality
+    from granary.llm.sharding import shard_by_rows
+    from granary.llm.simhash import simhash_groups
+
+    few = docs.where("doc_id < 40")
+    odd = few
+    for c in ("id", "fp", "drops", "n_lines", "kept", "size", "copies", "pattern", "bucket", "u", "w", "h", "at", "k", "g", "copy", "n_words", "component_id", "template", "label"):
+        odd = odd.withColumn(c, F.lit("x"))
+    for f in (lambda d: line_dedup(d).select("doc_id", "text", "n_dropped_lines"), lambda d: simhash_groups(d), lambda d: license_scan(d), lambda d: quality(d).select("doc_id", "n_words", "kept"), lambda d: mix(d, F.array("source"))[0].select("doc_id", "copies"), lambda d: shard_by_rows(d).select("doc_id", "shard", "slot")):
+        assert sorted(map(repr, f(odd).collect())) == sorted(map(repr, f(few).collect()))
