@@ -87,8 +87,9 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated lines; a document that had words and keeps none goes."""
-    out = line_dedup(docs).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike("[^ \\x09-\\x0D]")))
+    """Texts without repeated lines; a document that lost lines and has no line of MIN_WORDS words left is a copy and goes."""
+    word, space = "[^ \\x09-\\x0D]+", "[ \\x09\\x0B-\\x0D]+"
+    out = line_dedup(docs).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike(f"(?:{word}{space}){{{MIN_WORDS - 1}}}{word}")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
