@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +56,28 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once, wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).parent
+        if package.suffix != ".zip" and package.is_dir():
+            made = shutil.make_archive(f"{tempfile.mkdtemp(prefix='granary-')}/granary-package", "zip", package.parent, package.name)
+            sc.addPyFile(made)
+        _SHIPPED.add(sc.applicationId)
+
+
+def shipped(f: Callable) -> Callable:
+    """f(spark, ...) after the package has been sent to the workers."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return f(spark, *args)
+
+    return run
