@@ -17,6 +17,7 @@ from granary.llm.quality import quality
 from granary.llm.sharding import shard_by_rows
 from granary.llm.simhash import simhash_groups
 from granary.llm.warc import archive_pages
+from granary.runtime import shipped
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,17 +113,17 @@ def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality_rules", stage_quality),
-    ("line_dedup", stage_line_dedup),
-    ("simhash_near_dedup", stage_simhash),
-    ("mix_sources", stage_mix),
-    ("best_fit_packing", stage_packing),
+    ("quality_rules", shipped(stage_quality)),
+    ("line_dedup", shipped(stage_line_dedup)),
+    ("simhash_near_dedup", shipped(stage_simhash)),
+    ("mix_sources", shipped(stage_mix)),
+    ("best_fit_packing", shipped(stage_packing)),
 ]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f
+        f.__name__: shipped(f)
         for f in (
             op1_line_dedup, op2_simhash, op3_warc, op4_license_scan, op5_quality_rules,
             op6_mix_sources, op7_html_extract, op8_embedding_dedup, op9_best_fit_packing, op10_shard_groups,
