@@ -381,3 +381,14 @@ def test_extra_and_clashing_columns(spark, docs):
         odd = odd.withColumn(c, F.lit("x"))
     for f in (lambda d: line_dedup(d).select("doc_id", "text", "n_dropped_lines"), lambda d: simhash_groups(d), lambda d: license_scan(d), lambda d: quality(d).select("doc_id", "n_words", "kept"), lambda d: mix(d, F.array("source"))[0].select("doc_id", "copies"), lambda d: shard_by_rows(d).select("doc_id", "shard", "slot")):
         assert sorted(map(repr, f(odd).collect())) == sorted(map(repr, f(few).collect()))
+
+
+def test_registered_queries_reach_workers_from_anywhere(tmp_path):
+    """The package is sent to Python workers that cannot import it from where they run."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"import sys; sys.path.insert(0, {str(Path(__file__).parents[2])!r}); from granary.runtime import local_session; import __spark_entry__ as e; print(e.queries()['op2_simhash'](local_session('2', 2), {SF!r}).count())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert int(out.stdout.split()[-1]) == 200
