@@ -121,13 +121,14 @@ def decide(pages: DataFrame, id_col: str, url_col: str, payload: Column) -> Data
     from pyspark.sql import Window
 
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumns({"digest": F.sha2("payload", 256), "size": F.length("payload").cast("long")})
-    rows = rows.withColumn("k", F.xxhash64("page_id", "digest"))
-    ids = rows.select("k", "page_id", "digest", "size").groupBy("k", "digest", "page_id").agg(F.max("size").alias("bytes"), F.count("*").alias("n"))
+    # One key column that is never null: the join and the window then share a partitioning, and the payloads move once.
+    rows = rows.withColumns({"digest": F.coalesce(F.sha2("payload", 256), F.lit("")), "size": F.length("payload").cast("long")})
+    rows = rows.withColumn("k", F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.lit(":"), F.col("digest")))
+    ids = rows.groupBy("k", "digest", "page_id").agg(F.max("size").alias("bytes"), F.count("*").alias("n"))
     firsts = ids.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.sum("n").alias("copies")).where("copies > 1")
-    fate = ids.join(firsts, "digest", "left").select("k", "digest", F.col("page_id").alias("i"), "first", "copies")
-    out = rows.join(fate, ["k", "digest"]).where(F.col("page_id").eqNullSafe(F.col("i")))
-    nth = F.row_number().over(Window.partitionBy("k", "digest").orderBy("url"))
+    fate = ids.join(firsts, "digest", "left").select("k", "first", "copies")
+    out = rows.join(fate, "k")
+    nth = F.row_number().over(Window.partitionBy("k").orderBy("url"))
     response = F.col("copies").isNull() | (F.col("page_id").eqNullSafe(F.col("first")) & (nth == 1))
     return out.select("page_id", "url", "payload", "digest", "size", "first", response.alias("response"))
 
