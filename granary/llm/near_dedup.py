@@ -1,0 +1,140 @@
+"""Near copies by shingle similarity, found through bands of minimum hashes.
+
+A text is the set of the XXH64 of its shingles of WIDTH words; two texts are
+near copies if the Jaccard similarity of their sets is SIMILARITY or more. The
+covering of SimHash ends at 2 bits, and such pairs differ in up to 12 of 64,
+so candidates come from minimum hashes instead: a text has BANDS keys, each of
+ROWS minima, and a pair of similarity s shares none with probability
+(1 - s^ROWS)^BANDS, 5e-8 at 0.8. Every candidate is then held against the
+whole sets, so no pair below the bound is linked.
+
+The members of a key are first held against its least member; a large group of
+near copies costs rows, not pairs. Only members that this leaves in different
+components are compared with each other, all of them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from granary.llm.text import utf8
+from granary.operators.graph import connected_components
+from granary.runtime import stage
+
+SEED = 42
+WIDTH = 5
+#: 0.8 as a fraction, so that the test is exact.
+SIMILARITY = (4, 5)
+BANDS, ROWS = 32, 4
+
+
+def shingles(text: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; a text of fewer words is one shingle."""
+    from xxhash import xxh64_intdigest
+
+    w = text.lower().split()  # on bytes both touch ASCII only
+    if len(w) < WIDTH:
+        return np.array([xxh64_intdigest(b" ".join(w), SEED)], np.uint64)
+    every = map(b" ".join, zip(*(w[i:] for i in range(WIDTH)), strict=False))
+    return np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in every), np.uint64, len(w) - WIDTH + 1))
+
+
+@cache
+def _multipliers() -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    return np.array([xxh64_intdigest(b"%d" % i, SEED) | 1 for i in range(BANDS * ROWS)], np.uint64)
+
+
+def bands(h: np.ndarray) -> np.ndarray:
+    """The keys of a set of hashes, one a band."""
+    from xxhash import xxh64_intdigest
+
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(h), 1024):
+        np.minimum(least, (_multipliers()[:, None] * h[None, at : at + 1024]).min(axis=1), out=least)
+    raw, size = least.astype("<u8").tobytes(), 8 * ROWS
+    return np.array([xxh64_intdigest(raw[i * size : (i + 1) * size], i) for i in range(BANDS)], np.uint64)
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    up, down = SIMILARITY
+    if down * min(len(a), len(b)) < up * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return down * both >= up * (len(a) + len(b) - both)
+
+
+def node_of(text: Column) -> Column:
+    """Equal texts are one node of the graph."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, node, bands). Map-side only."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [bands(shingles(t.as_py())).view(np.int64) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["id", "node", "bands"])
+
+    return docs.select(F.col(id_col).alias("id"), node_of(F.col(text_col)).alias("node"), utf8(F.col(text_col)).alias("t")).mapInArrow(run, f"id {kind}, node bigint, bands array<bigint>")
+
+
+def _sets(docs: DataFrame, text_col: str, nodes: DataFrame) -> DataFrame:
+    """(node, hashes): the shingle sets of the nodes, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py()).tobytes() for t in b.column(1)], pa.binary())], names=["node", "hashes"])
+
+    texts = docs.select(node_of(F.col(text_col)).alias("node"), utf8(F.col(text_col)).alias("t")).join(nodes, "node")
+    return texts.mapInArrow(run, "node bigint, hashes binary").groupBy("node").agg(F.first("hashes").alias("hashes"))
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are near copies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [alike(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) for x, y in zip(b.column(2), b.column(3), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, node): of each group of near copies the least id, null last, and its node_of(text).
+
+    Words are lower-cased in A-Z; null and empty texts are equal. Groups are
+    the connected components over links of near copies. One row a group.
+    """
+    rows = stage(_sketches(docs, id_col, text_col), "near-sketches")
+    keyed = rows.select("node", F.explode("bands").alias("band"))
+    shared = keyed.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("band", "least")
+    members = stage(keyed.join(shared, "band").select("band", "least", "node").distinct(), "near-members")
+    sets = stage(_sets(docs, text_col, members.select("node").distinct()), "near-sets")
+
+    star = stage(members.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "near-star")
+    links = stage(_linked(star, sets), "near-links")
+    groups = connected_components(links, "a", "b").select(F.col("id").alias("node"), "component")
+    named = members.join(groups, "node", "left").select("band", "node", F.coalesce("component", "node").alias("root"))
+    mixed = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
+    rest = stage(named.join(mixed, "band"), "near-rest")
+    x, y = (rest.select("band", F.col("node").alias(c), F.col("root").alias(f"{c}r")) for c in "ab")
+    cross = x.join(y, "band").where("ar <> br AND a < b").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    links = links.unionByName(stage(_linked(cross, sets), "near-links"))
+
+    groups = connected_components(links, "a", "b").select(F.col("id").alias("node"), "component")
+    firsts = rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id")).alias("first"))
+    firsts = firsts.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    best = firsts.groupBy("root").agg(F.min(F.struct("first", "node")).alias("m"))
+    return stage(best.select(F.col("m.first.id").alias("id"), F.col("m.node").alias("node")), "near-groups")

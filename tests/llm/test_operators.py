@@ -107,6 +107,34 @@ def test_simhash(spark, docs, empty):
     assert simhash_groups(empty).count() == 0
 
 
+def near_copies(seed=11):
+    """Texts, with edits that leave their five-word similarity on either side of 0.8, and a chain of them."""
+    rng = random.Random(seed)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for i in range(60):
+        w = fresh(rng.choice([3, 20, 60, 200, 400]))
+        texts.append(" ".join(w))
+        for _ in range(rng.randrange(1, 4)):
+            at = rng.sample(range(len(w)), max(1, len(w) // rng.choice([30, 45, 60, 90])))
+            w = [f"x{rng.randrange(10**6)}" if k in at else x for k, x in enumerate(w)]
+            texts.append(" ".join(w))
+    return texts
+
+
+def test_near_dedup_is_shingle_similarity(spark, empty):
+    from granary.llm.queries import stage_simhash
+
+    texts = near_copies()
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} for w in (t.split() for t in texts)]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = sorted(set(components(len(texts), links)))
+    assert 60 < len(want) < len(texts) - 20
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], empty.schema).repartition(5)
+    assert sorted(r["doc_id"] for r in stage_simhash(spark, df, SF).collect()) == want
+    assert stage_simhash(spark, empty, SF).count() == 0
+
+
 def test_covering_loses_no_pair():
     from granary.llm.simhash import anchors
 
