@@ -85,6 +85,17 @@ def test_line_dedup(spark, empty):
     assert line_dedup(empty).count() == 0
 
 
+def test_line_dedup_stage_keeps_short_lines(spark, empty):
+    """A repeated long line does not take a document of short lines with it; one left without a word goes."""
+    from granary.llm.queries import stage_line_dedup
+
+    line = "this very line is in all of them"
+    rows = [(1, f"{line}\nfirst one"), (2, f"roses are red\n{line}\nviolets are blue"), (3, f"{line}\n \n"), (4, "\n")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], empty.schema)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in stage_line_dedup(spark, df, SF).collect()}
+    assert got == {1: (rows[0][1], len(rows[0][1])), 2: ("roses are red\nviolets are blue", 30), 4: ("\n", 1)}
+
+
 def test_simhash(spark, docs, empty):
     from xxhash import xxh64_intdigest
 
