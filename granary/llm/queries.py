@@ -12,7 +12,7 @@ from granary.llm.html_extract import extract_main
 from granary.llm.license_scan import K, MAX_SHIFT, MIN_COVER, license_scan, templates
 from granary.llm.line_dedup import MIN_WORDS, line_dedup
 from granary.llm.mixing import mix
-from granary.llm.near_dedup import near_groups
+from granary.llm.near_dedup import near_groups, node_of
 from granary.llm.packing import pack
 from granary.llm.quality import quality
 from granary.llm.sharding import shard_by_rows
@@ -95,10 +95,11 @@ def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies (see near_dedup); of rows equal in id and text one."""
-    groups = near_groups(docs).select(F.col("id").alias("doc_id")).distinct()
-    keep = docs.join(groups.withColumnRenamed("doc_id", "__k"), F.col("doc_id").eqNullSafe(F.col("__k"))).drop("__k")
-    return keep.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The document of least id, null last, of each group of near copies (see near_dedup); of rows equal in id and text one."""
+    groups = near_groups(docs).select(F.col("id").alias("__id"), F.col("node").alias("__node"))
+    keyed = docs.withColumn("__text", node_of(F.col("text")))
+    keep = keyed.join(groups, (F.col("__text") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    return keep.dropDuplicates(["doc_id", "__node"]).select(*docs.columns)
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

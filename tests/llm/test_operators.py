@@ -146,6 +146,18 @@ def test_near_dedup_is_shingle_similarity(spark, empty):
     assert stage_simhash(spark, empty, SF).count() == 0
 
 
+def test_near_dedup_keeps_distinct_texts_of_equal_ids(spark, empty):
+    """Null ids name no document, and of rows that share an id only those equal in text are one."""
+    from granary.llm.queries import stage_simhash
+
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    near = a.replace("a59", "zz")
+    rows = [(None, b), (None, c), (None, c), (7, d), (7, e), (7, e), (8, near), (5, a), (9, b), (7, a), (None, None), (6, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], empty.schema).repartition(4)
+    got = Counter((r["doc_id"], r["text"]) for r in stage_simhash(spark, df, SF).collect())
+    assert got == Counter([(9, b), (None, c), (7, d), (7, e), (5, a), (6, "")])
+
+
 def test_covering_loses_no_pair():
     from granary.llm.simhash import anchors
 
