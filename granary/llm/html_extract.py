@@ -2,11 +2,14 @@
 
 The DOMs of a host's pages are merged: pages with the same chain of block
 elements (tag and class) share a presentation node, and below each node hang
-the distinct contents it was seen with. A node's importance is the mean over
-its contents of 1 - log(pages with that content) / log(pages with the node):
-near 1 where every page says something else, 0 where all say the same. Nodes
-of low importance are noise and are cut from each page, as are elements whose
-tag, role or class says that they are furniture.
+the distinct contents it was seen with. A content's importance is
+1 - log(pages with it) / log(pages with the node + sqrt(pages of the host)):
+1 for what one page says, near 0 for what all say. The root stands for pages
+not seen: the smaller the part of the host that has the node, and the fewer
+pages the host has, the more of them must agree. A node's importance is the
+mean over its contents. Nodes and contents of low importance are noise and are
+cut from each page, as are elements whose tag, role or class says that they
+are furniture. Equal pages of a host count as one page.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.runtime import stage
@@ -45,8 +48,6 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<(/?)([a-zA-Z][^\s/
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-#: A node must have been on so many pages of its host before its contents are compared.
-LEAST_PAGES = 12
 #: Importance below which a branch goes: outside and inside an article or main element.
 NOISE_OUTSIDE, NOISE_INSIDE = 0.4, 0.15
 
@@ -173,37 +174,54 @@ def _host(url: str | None) -> str:
     return m[1].lower().rpartition("@")[2] if m else ""
 
 
+def _host_of(url: Column) -> Column:
+    """_host as a column."""
+    return F.lower(F.regexp_replace(F.regexp_extract(F.coalesce(url, F.lit("")), "^\\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), "^.*@", ""))
+
+
+def _content(path: str, text: str) -> int:
+    return _hash(f"{path}\0{text}")
+
+
 def site_nodes(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(host, outside, inside): hashes of the style nodes to cut outside and inside the main element."""
+    """(host, outside, inside): hashes of the style nodes and of the contents to cut outside and inside the main element."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(seen: dict) -> pa.RecordBatch:
             keys = list(seen)
-            out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["host", "node", "content", "pages"])
+            out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int64()), pa.array(list(seen.values()), pa.float64())], names=["host", "node", "content", "pages"])
             seen.clear()
             return out
 
-        seen: dict[tuple[str, int, int], int] = {}
+        seen: dict[tuple[str, int, int], float] = {}
         for b in batches:
-            for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                host, on = _host(url), set()
+            for url, page, rows_of_page in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                host = _host(url)
+                on = {(host, 0, 0)}
                 for path, _, text in blocks(page or ""):
                     node = _hash(path)
                     on.add((host, node, 0))
-                    on.add((host, node, _hash(text)))
+                    on.add((host, node, _content(path, text)))
                 for k in on:
-                    seen[k] = seen.get(k, 0) + 1
+                    seen[k] = seen.get(k, 0) + 1 / rows_of_page
                 if len(seen) > 100_000:
                     yield rows(seen)
         yield rows(seen)
 
-    counts = pages.select(url_col, html_col).mapInArrow(run, "host string, node long, content long, pages long")
-    counts = counts.groupBy("host", "node", "content").agg(F.sum("pages").alias("pages"))
+    # Equal pages share the weight of one.
+    keyed = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"), _host_of(F.col(url_col)).alias("h"), F.xxhash64(F.col(html_col)).alias("k"))
+    copies = keyed.groupBy("h", "k").agg(F.count("*").alias("n")).where("n > 1")
+    counts = keyed.join(copies, ["h", "k"], "left").select("url", "html", F.coalesce("n", F.lit(1)).alias("n")).mapInArrow(run, "host string, node long, content long, pages double")
+    counts = stage(counts.groupBy("host", "node", "content").agg(F.round(F.sum("pages"), 3).alias("pages")), "site-counts")
     shared = F.when(F.col("content") != 0, F.log("pages"))
-    nodes = counts.groupBy("host", "node").agg(F.max(F.when(F.col("content") == 0, F.col("pages"))).alias("m"), F.avg(shared).alias("shared"))
-    nodes = nodes.where(F.col("m") >= LEAST_PAGES).withColumn("importance", 1 - F.col("shared") / F.log("m")).where(F.col("importance") < NOISE_OUTSIDE)
-    inside = F.when(F.col("importance") < NOISE_INSIDE, F.col("node"))
-    return nodes.groupBy("host").agg(F.collect_list("node").alias("outside"), F.collect_list(inside).alias("inside"))
+    nodes = counts.where("node <> 0").groupBy("host", "node").agg(F.max(F.when(F.col("content") == 0, F.col("pages"))).alias("m"), F.avg(shared).alias("shared"))
+    nodes = nodes.join(counts.where("node = 0").select("host", F.col("pages").alias("n")), "host")
+    nodes = nodes.select("host", "node", "shared", F.log(F.col("m") + F.sqrt("n")).alias("whole"))
+    # A content of one page has importance 1.
+    contents = counts.where("content <> 0 AND pages > 1").join(nodes, ["host", "node"]).select("host", F.col("content").alias("cut"), (1 - F.log("pages") / F.col("whole")).alias("importance"))
+    low = nodes.select("host", F.col("node").alias("cut"), (1 - F.col("shared") / F.col("whole")).alias("importance")).unionByName(contents).where(F.col("importance") < NOISE_OUTSIDE)
+    inside = F.when(F.col("importance") < NOISE_INSIDE, F.col("cut"))
+    return low.groupBy("host").agg(F.collect_list("cut").alias("outside"), F.collect_list(inside).alias("inside"))
 
 
 def main_text(page: str | None, outside: set[int], inside: set[int]) -> str:
@@ -211,7 +229,7 @@ def main_text(page: str | None, outside: set[int], inside: set[int]) -> str:
     best = max((kind for _, kind, _ in found), default=MAIN_NONE)
     kept = [(path, kind, text) for path, kind, text in found if kind == best]
     cut = inside if best else outside
-    return " ".join(text for path, _, text in kept if not cut or _hash(path) not in cut)
+    return " ".join(text for path, _, text in kept if not cut or (_hash(path) not in cut and _content(path, text) not in cut))
 
 
 def extract_main(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -223,7 +241,7 @@ def extract_main(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     text; pages without a host in their url share one tree. Broken markup is
     read as far as it goes. Repeated rows are extracted each.
     """
-    host = F.lower(F.regexp_replace(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), "^\\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1), "^.*@", ""))
+    host = _host_of(F.col(url_col))
     nodes = stage(site_nodes(pages, url_col, html_col), "site-nodes")
     kind = pages.schema[id_col].dataType.simpleString()
     joined = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host")).join(nodes, "host", "left").select("id", "url", "html", "outside", "inside")

@@ -300,6 +300,23 @@ def test_html(spark):
     assert extract_main(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_cuts_repeated_contents_on_hosts_of_any_size(spark):
+    """A notice goes though it shares its path with real paragraphs, on small hosts too; copies of a page are no evidence."""
+    from granary.llm.html_extract import extract_main
+
+    rows, want = [], {}
+    for n in (3, 5, 11, 60):
+        for i in range(n):
+            own = [f"Paragraph {k} of page {i} on host {n}." for k in range(3)]
+            rows.append((1000 * n + i, f"http://h{n}.example/{i}", "".join(f"<p>{x}</p>" for x in [*own, "All offers end on Sunday."])))
+            want[1000 * n + i] = " ".join(own)
+    for i in range(20):
+        rows.append((i, f"http://copies.example/{i}", "<p>One page under many names.</p>"))
+        want[i] = "One page under many names."
+    got = extract_main(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_embeddings(spark):
     from granary.llm.embed_dedup import embedding_groups
 
