@@ -79,14 +79,24 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
     stack: list[tuple[str, bool, int, str]] = []  # tag, furniture, main kind, path
     held: list[str] = []
     state = (False, MAIN_NONE, "")
-    owner = state
+    owner: tuple[bool, int, str] | None = None  # state at the block's first text outside furniture
+
+    def take(text: str) -> None:
+        nonlocal owner
+        if state[0]:
+            text = " "  # inline furniture still parts the words around it
+        elif owner is None:
+            owner = state
+        held.append(text)
 
     def flush() -> None:
-        if held:
+        nonlocal owner
+        if owner:
             text = " ".join(entities.unescape("".join(held)).split())
-            held.clear()
-            if text and not owner[0]:
+            if text:
                 out.append((owner[2], owner[1], text))
+        held.clear()
+        owner = None
 
     def drop(n: int) -> None:
         nonlocal state
@@ -100,16 +110,14 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
         m = TOKEN.search(page, at)
         text = page[at : m.start() if m else end]
         if text:
-            if not held:
-                owner = state
-            held.append(text)
+            take(text)
         if m is None:
             break
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             if m[0].startswith("<![CDATA["):
-                held.append(entities.escape(m[0][9:-3]))
+                take(entities.escape(m[0][9:-3]))
             continue
         if m[1] or m[4]:
             for i in range(len(stack) - 1, -1, -1):
@@ -127,7 +135,7 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                 at = page.find(">", at) + 1 or end
             continue
         if tag == "br":
-            held.append(" ")
+            take(" ")
             continue
         if tag in BLOCK:
             flush()

@@ -317,6 +317,27 @@ def test_html_cuts_repeated_contents_on_hosts_of_any_size(spark):
     assert {r["page_id"]: r["text"] for r in got} == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<p><span class="share">Share</span> The mayor said so.</p>', "The mayor said so."),
+        ("<p><button>Share</button>The mayor said so.</p>", "The mayor said so."),
+        ('<p><a class="promo" href=x>Buy</a> The <b>mayor</b> said so.</p>', "The mayor said so."),
+        ("<p><select><option>One<option>Two</select> The mayor said so.</p>", "The mayor said so."),
+        ("<p>The mayor <button>Share</button> said so.</p>", "The mayor said so."),
+        ("<p>The mayor<button>Share</button>said so.</p>", "The mayor said so."),
+        ('<p>The mayor <span class="ad">buy <b>now</b></span>said so.', "The mayor said so."),
+        ("<nav>Home</nav><br>The mayor said so.", "The mayor said so."),
+        ("<nav>Home<p>Top</p><br>of <![CDATA[the]]> page</nav><p>The mayor said so.</p>", "The mayor said so."),
+        ('<p>The mayor said so.<span class="share"> <br>Share</span></p><p><span class="share">Share</span></p>', "The mayor said so."),
+    ],
+)
+def test_html_inline_furniture(page, want):
+    from granary.llm.html_extract import main_text
+
+    assert main_text(page, set(), set()) == want
+
+
 def test_embeddings(spark):
     from granary.llm.embed_dedup import embedding_groups
 
