@@ -137,8 +137,10 @@ def field_agreement(t):
 
 @query()
 def sequence_agreement(t):
-    ours = t("benchmark").select("item_id", F.substring("text", 1, 80).alias("a"))
-    d = t("documents").select("doc_id", F.substring("text", 1, 80).alias("b"))
+    """Of whole first lines, as for the other comparisons of heads."""
+    line = F.element_at(F.split("text", "\n"), 1)
+    ours = t("benchmark").select("item_id", line.alias("a"))
+    d = t("documents").select("doc_id", line.alias("b"))
     keys = head_pairs(t).where(decisions.jaccard(F.col("td"), F.col("tb")) >= 0.1).select("doc_id", "item_id")
     return keys.join(ours, "item_id").join(d, "doc_id").select("doc_id", "item_id", F.round(fx.udf_of(fx.agreement, "double")("a", "b"), 6).alias("agreement"))
 
@@ -220,7 +222,7 @@ def disc_id_parse(t):
 
 @query()
 def parse_stem_full(t):
-    line = F.substring(F.element_at(F.split("text", "\n"), 1), 1, 120)
+    line = F.element_at(F.split("text", "\n"), 1)
     return t("documents").select("doc_id", stems.parsed(line).alias("p")).select("doc_id", "p.*")
 
 

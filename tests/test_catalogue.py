@@ -235,3 +235,15 @@ def test_entry_without_the_training_data_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(x.startswith('op') for x in e.queries()))"], cwd=tmp_path, capture_output=True, text=True, check=True)
     n, sql, llm = out.stdout.split()
     assert int(n) >= int(sql) > 60 and llm == "False"
+
+
+def test_first_lines_are_compared_and_parsed_whole(spark):
+    """What differs behind character 80, or stands behind character 120, counts."""
+    from granary.plans.clustering import parse_stem_full, sequence_agreement
+
+    head = " ".join(f"word{i:03d}" for i in range(20))
+    docs = [(1, f"{head} same tail\nmore"), (2, f"{head} other end\nmore"), (3, f"{head} - Artist")]
+    t = {"documents": spark.createDataFrame(docs, "doc_id long, text string"), "benchmark": spark.createDataFrame([(9, f"{head} same tail\nelse")], "item_id long, text string")}
+    got = {r["doc_id"]: r["agreement"] for r in sequence_agreement(t.__getitem__).collect()}
+    assert got[1] == 1.0 and 0 < got[2] < 1 and 0 < got[3] < 1
+    assert {r["doc_id"]: r["title"] for r in parse_stem_full(t.__getitem__).collect()}[3] == "Artist"
