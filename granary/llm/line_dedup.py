@@ -2,8 +2,9 @@
 
 The edit unit is the word and the bound is one edit (a word inserted, deleted
 or replaced) for lines of MIN_WORDS words or more, that is a similarity of at
-least 0.8; shorter lines are left alone. Two such lines are within the bound
-exactly if they share a variant: the line itself or the line less one word.
+least 0.8. Two such lines are within the bound exactly if they share a
+variant: the line itself or the line less one word. Shorter lines are left
+alone, or compared for equality only where that is asked for.
 
 A variant's key is (its number of words, a hash of the half that the deletion
 left intact, the sum of the hashes of its words); the deletion of word i
@@ -56,19 +57,22 @@ def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("x"), F.col("id").alias("id"), F.col("tk").alias("tk"), F.col("at").alias("at"))
 
 
-def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _dropped(docs: DataFrame, id_col: str, text_col: str, short_copies: bool) -> DataFrame:
     """(id, tk, drops): numbers of the lines to remove from each document that loses some."""
     w = words(F.col("line"))
     lines = _lines(docs, id_col, text_col).select("id", "tk", "at", w.alias("w"))
     joined = F.array_join("w", " ")
     halves = F.when(F.size("w") >= MIN_WORDS, F.array(*_halves(F.col("w"))))
+    if short_copies:  # no halves: equal lines are one row below, and no others meet
+        halves = halves.when(F.size("w") > 0, F.array().cast("array<bigint>"))
     lines = lines.select("id", "tk", "at", F.xxhash64(joined).alias("h"), F.xxhash64(F.lit(7), joined).alias("h2"), halves.alias("halves"))
     # The test for length comes after the write, where it costs no second split.
     seen = stage(lines, "lines").where("halves IS NOT NULL")
 
     distinct = seen.groupBy("h", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
     distinct = stage(distinct, "lines-distinct")
-    halves = distinct.select("h", "h2", F.explode_outer(F.array_distinct("halves")).alias("half"))
+    long = distinct.where(F.size("halves") > 0) if short_copies else distinct
+    halves = long.select("h", "h2", F.explode_outer(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     asked = halves.join(shared, "half").select("h", "h2").distinct().join(distinct.select("h", "h2", "first"), ["h", "h2"])
     asked = asked.select(F.col("first.id").alias("id"), F.col("first.tk").alias("tk"), F.struct(F.col("first.at").alias("at"), "h", "h2").alias("q"))
@@ -125,17 +129,18 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.select("h", "h2", F.split("a", " ").alias("wa"), F.split("b", " ").alias("wb")).where(within_one(F.col("wa"), F.col("wb")))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
     """docs with repeated lines removed, plus n_lines and n_dropped_lines.
 
     A line goes if an earlier line (by document id, then line number) is
     equal, up to white space, or within one word edit. Lines without a word,
-    and those under MIN_WORDS words, stay. Null text stays null; null ids
+    and those under MIN_WORDS words, stay; with short_copies the latter go
+    where an earlier line is equal. Null text stays null; null ids
     come last in order; rows equal in id and text lose the same lines; an
     empty table gives an empty result. Columns n_lines and n_dropped_lines of
     docs are replaced.
     """
-    drops = _dropped(docs, id_col, text_col)
+    drops = _dropped(docs, id_col, text_col, short_copies)
     text = F.col(text_col)
     keyed = docs.drop("n_lines", "n_dropped_lines").withColumn("__tk", F.xxhash64(F.coalesce(text, F.lit(""))))
     out = keyed.join(drops.select(F.col("id").alias("__id"), F.col("tk").alias("__tk2"), F.col("drops").alias("__drops")), (F.col("__tk") == F.col("__tk2")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")

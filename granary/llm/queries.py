@@ -89,8 +89,8 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated lines; a document that had words and keeps none goes."""
-    out = line_dedup(docs).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike("[^ \\x09-\\x0D]")))
+    """Texts without repeated lines, short ones as well; a document that had words and keeps none goes."""
+    out = line_dedup(docs, short_copies=True).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike("[^ \\x09-\\x0D]")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -96,6 +96,15 @@ def test_line_dedup_stage_keeps_short_lines(spark, empty):
     assert got == {1: (rows[0][1], len(rows[0][1])), 2: ("roses are red\nviolets are blue", 30), 4: ("\n", 1)}
 
 
+def test_line_dedup_stage_drops_equal_short_lines(spark, empty):
+    from granary.llm.queries import stage_line_dedup
+
+    rows = [(1, "Read more here\nred\nThe mayor said so today."), (2, "Red\nRead  more\there\nread more\n\nblue"), (3, "red\nblue\n\nThe mayor said so.\ngreen"), (4, "red\nRead more here")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], empty.schema).repartition(2)
+    got = {r["doc_id"]: r["text"] for r in stage_line_dedup(spark, df, SF).collect()}
+    assert got == {1: rows[0][1], 2: "Red\nread more\n\nblue", 3: "\nThe mayor said so.\ngreen"}
+
+
 def test_simhash(spark, docs, empty):
     from xxhash import xxh64_intdigest
 
