@@ -42,7 +42,7 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     Null text counts as no text (no words: base_failed). Empty tables give
     empty results, repeated rows are measured each by itself, and columns of
     docs whose name an output takes are replaced. `clean_text` is the text
-    without the failed lines; a document is kept if it does not fail the base
+    without the failed lines, other lines as they are; a document is kept if it does not fail the base
     rules and its failed lines hold at most half of its characters.
     """
     t = F.coalesce(F.col("__t"), F.lit(""))
@@ -68,6 +68,7 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
     base = base.withColumn("__again", again)
     chars = F.length(F.array_join("__lines", ""))
     lost = chars - F.length(F.array_join("__good", ""))
+    clean = F.array_join(F.filter(F.split(t, "\n"), lambda x: ~(x.rlike(HAS_WORD) & line_fails(x))), "\n")
     repeats = F.size(F.array_distinct(F.flatten(F.transform("__again", lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2)))))
     base = base.withColumns({
         "n_repeat_words": F.when(F.col("__again").isNull(), F.lit(0)).otherwise(repeats).cast("long"),
@@ -75,7 +76,7 @@ def quality(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_bad_lines": (F.size("__lines") - F.size("__good")).cast("long"),
         "lost_chars": lost.cast("long"),
         "__chars": chars,
-        "clean_text": F.array_join("__good", "\n"),
+        "clean_text": F.when(F.size("__lines") == F.size("__good"), t).otherwise(clean),
     })
     failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
     base = base.withColumn("base_failed", failed)

@@ -81,11 +81,12 @@ def op10_shard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, with their texts as they are."""
+    """Documents that the quality rules keep, their texts without the lines that failed."""
     # The id that is not deterministic keeps the planner from copying the rules
     # into a filter below them, where each would be computed again and again.
     out = quality(docs).withColumn("__at", F.monotonically_increasing_id())
-    return out.where("kept AND __at >= 0").select(*docs.columns)
+    out = out.where("kept AND __at >= 0").withColumn("text", F.col("clean_text")).withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*docs.columns)
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

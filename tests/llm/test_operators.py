@@ -105,6 +105,18 @@ def test_line_dedup_stage_drops_equal_short_lines(spark, empty):
     assert got == {1: rows[0][1], 2: "Red\nread more\n\nblue", 3: "\nThe mayor said so.\ngreen"}
 
 
+def test_quality_stage_takes_failed_lines_out(spark, empty):
+    from granary.llm.queries import stage_quality
+
+    prose = [" ".join(f"w{i}x{k}" for i in range(12)) + "." for k in range(8)]
+    dirty = [prose[0], "Please accept all cookies to go on", "", *prose[1:], "Home | News | Sport | Travel | Food"]
+    clean = "\n".join([prose[0], "", *prose[1:]])
+    rows = [(1, "\n".join(dirty)), (2, "\n\n".join(prose)), (3, "Home | News | Sport | Travel")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], empty.schema)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in stage_quality(spark, df, SF).collect()}
+    assert got == {1: (clean, len(clean)), 2: (rows[1][1], len(rows[1][1]))}
+
+
 def test_simhash(spark, docs, empty):
     from xxhash import xxh64_intdigest
 
