@@ -8,9 +8,10 @@ ROWS minima, and a pair of similarity s shares none with probability
 (1 - s^ROWS)^BANDS, 5e-8 at 0.8. Every candidate is then held against the
 whole sets, so no pair below the bound is linked.
 
-The members of a key are first held against its least member; a large group of
-near copies costs rows, not pairs. Only members that this leaves in different
-components are compared with each other, all of them.
+The members of a key are first held against its least member; what is linked
+to it costs rows, not pairs. Only members that this leaves in different
+components are compared with each other, all of them: where a large group
+shares keys and its least member links few, the pairs grow with its square.
 """
 
 from __future__ import annotations
