@@ -1,16 +1,21 @@
 """Near-duplicate lines by a deletion-neighbourhood join.
 
-The edit unit is the word and the bound is one edit (a word inserted, deleted
-or replaced) for lines of MIN_WORDS words or more, that is a similarity of at
-least 0.8. Two such lines are within the bound exactly if they share a
-variant: the line itself or the line less one word. Shorter lines are left
-alone, or compared for equality only where that is asked for.
-
-A variant's key is (its number of words, a hash of the half that the deletion
-left intact, the sum of the hashes of its words); the deletion of word i
-gives it in constant time. A line's half hashes alone, four numbers, first
-tell which lines share a half with another line at all: a pair within the
-bound always does, so the other lines need no variants.
+The edit unit is the word. Lines that share a number of words are within one
+edit if they agree but for the word at one place; lines whose numbers differ
+by one, if the longer less one word is the shorter. So a line of MIN_WORDS
+words or more emits, for each place, the key of the line less that word, and
+the key of the whole line. Two lines with one key at one place differ in that
+word only, all of them from each other; a whole line with the key of another's
+variant is that line less a word. Each variant is thus held against one
+line only, the earliest, and no pair within the bound is lost. Shorter lines
+have an edit bound of zero: they meet where they are equal.
+
+A key is two hashes: of the half of the variant that the deletion left intact,
+and the exclusive or of the hashes of (word, place) over the whole variant,
+which depends on the order of the words. A running exclusive or gives it for
+each place in constant time. Hashes of the halves alone, four numbers a line,
+first tell which lines can have a neighbour and on which side of the middle;
+only there are variants emitted.
 """
 
 from __future__ import annotations
@@ -21,20 +26,19 @@ from pyspark.sql import functions as F
 from granary.llm.text import words
 from granary.runtime import stage
 
+#: Lines of fewer words are held for equality only.
 MIN_WORDS = 5
-MASK = (1 << 62) - 1
-
-
-def _hash_words(w: Column, start: Column, n: Column) -> Column:
-    return F.xxhash64(F.array_join(F.slice(w, start + 1, n), " "), n)
+#: Words of a line whose running exclusive or is built in one piece.
+RUN = 64
+HALVES = ("front_less", "back_less", "front", "back")
 
 
 def _half(n: Column) -> Column:
     return F.floor(n / 2).cast("int")
 
 
-def _halves(w: Column) -> list[Column]:
-    """(tag, hash) of the intact halves of variants of n - 1 and of n words.
+def _halves(w: Column) -> dict[str, Column]:
+    """Hashes of the intact halves of the line's variants: of n - 1 words, and of all n.
 
     For a variant of v words the front half is its first v // 2 words and the
     back half the rest; one of them is a stretch of the line itself.
@@ -42,14 +46,21 @@ def _halves(w: Column) -> list[Column]:
     n = F.size(w)
     out = []
     for v in (n - 1, n):
-        out.append(F.xxhash64(v, F.lit("front"), _hash_words(w, F.lit(0), _half(v))))
-        out.append(F.xxhash64(v, F.lit("back"), _hash_words(w, n - (v - _half(v)), v - _half(v))))
-    return out
+        out.append(F.xxhash64(v, F.lit("front"), F.slice(w, F.lit(1), _half(v))))
+        out.append(F.xxhash64(v, F.lit("back"), F.slice(w, n - (v - _half(v)) + 1, v - _half(v))))
+    return dict(zip(HALVES, out, strict=True))
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), F.posexplode_outer(F.split(text, "\n")).alias("at", "line"))
+def _xor(a: Column, b: Column) -> Column:
+    return a.bitwiseXOR(b)
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("long")
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 #: The order of documents and lines: ids first, null last.
@@ -57,55 +68,69 @@ def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("x"), F.col("id").alias("id"), F.col("tk").alias("tk"), F.col("at").alias("at"))
 
 
-def _dropped(docs: DataFrame, id_col: str, text_col: str, short_copies: bool) -> DataFrame:
-    """(id, tk, drops): numbers of the lines to remove from each document that loses some."""
-    w = words(F.col("line"))
-    lines = _lines(docs, id_col, text_col).select("id", "tk", "at", w.alias("w"))
-    joined = F.array_join("w", " ")
-    halves = F.when(F.size("w") >= MIN_WORDS, F.array(*_halves(F.col("w"))))
-    if short_copies:  # no halves: equal lines are one row below, and no others meet
-        halves = halves.when(F.size("w") > 0, F.array().cast("array<bigint>"))
-    lines = lines.select("id", "tk", "at", F.xxhash64(joined).alias("h"), F.xxhash64(F.lit(7), joined).alias("h2"), halves.alias("halves"))
-    # The test for length comes after the write, where it costs no second split.
-    seen = stage(lines, "lines").where("halves IS NOT NULL")
-
-    distinct = seen.groupBy("h", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
-    distinct = stage(distinct, "lines-distinct")
-    long = distinct.where(F.size("halves") > 0) if short_copies else distinct
-    halves = long.select("h", "h2", F.explode_outer(F.array_distinct("halves")).alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
-    asked = halves.join(shared, "half").select("h", "h2").distinct().join(distinct.select("h", "h2", "first"), ["h", "h2"])
-    asked = asked.select(F.col("first.id").alias("id"), F.col("first.tk").alias("tk"), F.struct(F.col("first.at").alias("at"), "h", "h2").alias("q"))
-    asked = stage(asked.groupBy("id", "tk").agg(F.collect_list("q").alias("qs")), "lines-asked")
-
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, tk, at, h, h2, halves) of each line with a word; halves are null for short lines. Map-side only."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"))
-    # Equal rows (id and text) give their lines twice; the minimum and the distinct below do not mind.
-    found = texts.join(asked.withColumnRenamed("id", "i"), "tk").where(F.col("id").eqNullSafe(F.col("i")))
-    found = found.select("id", "tk", F.split("text", "\n").alias("ls"), F.explode_outer("qs").alias("q"))
-    found = found.select("id", "tk", "q.at", "q.h", "q.h2", words(F.element_at("ls", F.col("q.at") + 1)).alias("w"))
-    found = stage(found, "lines-found")
-    asked_words = found.select("h", "h2", F.array_join("w", " ").alias("line"))
-    found = found.withColumn("place", _place()).withColumn("hs", F.transform("w", lambda x: F.xxhash64(x).bitwiseAND(MASK)))
-    found = found.withColumn("total", F.aggregate("hs", F.lit(0).cast("long"), lambda a, x: (a + x).bitwiseAND(MASK)))
-    n, f = F.size("w"), _halves(F.col("w"))
-    found = found.withColumns({"f1": f[0], "b1": f[1], "f0": f[2], "b0": f[3]})
-    less = F.transform("hs", lambda x, i: F.struct(F.when(i >= _half(n - 1), F.col("f1")).otherwise(F.col("b1")).alias("half"), (F.col("total") - x).bitwiseAND(MASK).alias("sum")))
-    own = F.array(*(F.struct(F.col(c).alias("half"), F.col("total").alias("sum")) for c in ("f0", "b0")))
-    variants = found.select("h", "h2", "place", F.explode_outer(F.concat(less, own)).alias("v")).select("h", "h2", "place", "v.half", "v.sum")
-    variants = stage(variants, "lines-variants")
-
-    # All lines of a key are within the bound of each other, so each is held
-    # against the earliest only: rows, not pairs.
-    least = variants.groupBy("half", "sum").agg(F.min(F.struct("place", "h", "h2")).alias("m"), F.max("place").alias("last"))
-    least = least.where("m.place <> last").select("half", "sum", F.col("m.place").alias("mp"), F.col("m.h").alias("mh"), F.col("m.h2").alias("mh2"))
-    pairs = variants.join(least, ["half", "sum"]).where("place > mp")
-    pairs = pairs.select("h", "h2", "mh", "mh2").distinct()
-    near = stage(_verified(pairs, asked_words).select("h", "h2").distinct(), "lines-near")
-
-    copies = distinct.select("h", "h2", "first", "n").join(near.withColumn("near", F.lit(True)), ["h", "h2"], "left").where("n > 1 OR near")
-    gone = seen.select("id", "tk", "at", "h", "h2").join(copies, ["h", "h2"]).where(F.col("near").isNotNull() | (_place() != F.col("first")))
-    return stage(gone.groupBy("id", "tk").agg(F.collect_set("at").alias("drops")), "lines-dropped")
+    raw = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), F.posexplode_outer(F.split(text, "\n")).alias("at", "line"))
+    w = F.col("w")
+    long = F.size(w) >= MIN_WORDS
+    halves = [F.when(long, c).alias(name) for name, c in _halves(w).items()]
+    return raw.select("id", "tk", "at", words(F.col("line")).alias("w")).select("id", "tk", "at", F.size(w).alias("n"), F.xxhash64(w).alias("h"), F.xxhash64(F.lit(7), w).alias("h2"), *halves)
+
+
+def _neighbours_possible(distinct: DataFrame) -> DataFrame:
+    """(h, h2, in_front, in_back): lines that share a half with another, and where variants can meet:
+    the deletion in the front or in the back half."""
+    long = distinct.where("front IS NOT NULL")
+    sides = long.select("h", "h2", F.explode(F.array(*(F.struct(F.lit(i).alias("side"), F.col(c).alias("half")) for i, c in enumerate(HALVES)))).alias("s"))
+    sides = sides.select("h", "h2", "s.side", "s.half")
+    # The four of a line differ, as number of words and side are part of the hash.
+    shared = sides.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
+    met = sides.join(shared, "half").groupBy("h", "h2")
+    return met.agg(F.bool_or(F.col("side") == 1).alias("in_front"), F.bool_or(F.col("side") == 0).alias("in_back"))
+
+
+def _variants(lines: DataFrame) -> DataFrame:
+    """(h, h2, place, i, half, key): a row for each place of deletion, and two with i = -1 for the whole line."""
+    w, n = F.col("w"), F.size("w")
+    here = F.transform(w, lambda x, i: F.xxhash64(x, i))
+    moved = F.transform(w, lambda x, i: F.xxhash64(x, i - 1))
+    x = lines.withColumns({"here": here, "moved": moved} | _halves(w)).withColumns({
+        "whole": F.aggregate("here", _zero(), _xor),
+        "all_moved": F.aggregate("moved", _zero(), _xor),
+        "step": F.zip_with("here", "moved", _xor),
+    })
+    empty = F.struct(_zero().alias("x"), F.array().cast("array<bigint>").alias("before"))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor((n - 1) / RUN).cast("int")),
+        lambda b: F.aggregate(F.slice("step", b * RUN + 1, F.lit(RUN)), empty, lambda a, y: F.struct(_xor(a["x"], y).alias("x"), F.array_append(a["before"], a["x"]).alias("before"))),
+    )
+    x = x.withColumn("runs", runs)
+    x = x.withColumn("starts", F.aggregate("runs", empty, lambda a, y: F.struct(_xor(a["x"], y["x"]).alias("x"), F.array_append(a["before"], a["x"]).alias("before")))["before"])
+    before = F.flatten(F.zip_with("runs", "starts", lambda r, s: F.transform(r["before"], lambda y: _xor(y, s))))
+    x = x.withColumn("less", F.zip_with("moved", before, _xor))
+    x = x.select("h", "h2", "place", "in_front", "in_back", "all_moved", "whole", *HALVES, F.size("w").alias("n"), F.posexplode_outer(F.concat("less", F.array(_zero(), _zero()))).alias("i", "y"))
+    in_back, own = F.col("i") >= _half(F.col("n") - 1), F.col("i") - F.col("n")
+    half = F.when(own == 0, F.col("front")).when(own == 1, F.col("back")).when(in_back, F.col("front_less")).otherwise(F.col("back_less"))
+    key = F.when(own >= 0, F.col("whole")).otherwise(_xor(F.col("y"), F.col("all_moved")))
+    wanted = (own >= 0) | F.when(in_back, F.col("in_back")).otherwise(F.col("in_front"))
+    return x.where(wanted).select("h", "h2", "place", F.when(own >= 0, F.lit(-1)).otherwise(F.col("i")).alias("i"), half.alias("half"), key.alias("key"))
+
+
+def _meetings(variants: DataFrame) -> DataFrame:
+    """(h, h2, mh, mh2): each line with an earlier one that shares a variant with it."""
+    key = ["half", "key"]
+    line = F.struct("place", "h", "h2")
+    # A line may give a key twice, at the places of a repeated word: then it is met by itself, which does no harm.
+    shared = variants.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
+    met = stage(variants.join(shared, key), "lines-met")
+    least = met.groupBy(*key, "i").agg(F.min(line).alias("m"))
+    same = met.where("i >= 0").join(least, [*key, "i"]).where("place > m.place")
+    own, less = met.where("i = -1"), met.where("i >= 0")
+    shorter = less.join(own.select(*key, line.alias("m")), key).where("place > m.place")
+    longer = own.join(less.groupBy(*key).agg(F.min(line).alias("m")), key).where("place > m.place")
+    found = [d.select("h", "h2", F.col("m.h").alias("mh"), F.col("m.h2").alias("mh2")) for d in (same, shorter, longer)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).distinct()
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -123,26 +148,52 @@ def within_one(a: Column, b: Column) -> Column:
 
 def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Pairs whose lines are within the bound, word by word."""
-    a = lines.select("h", "h2", F.col("line").alias("a"))
-    b = lines.select(F.col("h").alias("mh"), F.col("h2").alias("mh2"), F.col("line").alias("b"))
-    both = pairs.join(a, ["h", "h2"]).join(b, ["mh", "mh2"])
-    return both.select("h", "h2", F.split("a", " ").alias("wa"), F.split("b", " ").alias("wb")).where(within_one(F.col("wa"), F.col("wb")))
+    a = lines.select("h", "h2", F.col("w").alias("wa"))
+    b = lines.select(F.col("h").alias("mh"), F.col("h2").alias("mh2"), F.col("w").alias("wb"))
+    return pairs.join(a, ["h", "h2"]).join(b, ["mh", "mh2"]).where(within_one(F.col("wa"), F.col("wb")))
+
+
+def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, tk, drops): numbers of the lines to remove from each document that loses some."""
+    # The test for words comes after the write, where it costs no second split.
+    seen = stage(_lines(docs, id_col, text_col), "lines").where("n > 0")
+    distinct = seen.groupBy("h", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in HALVES))
+    distinct = stage(distinct, "lines-distinct")
+
+    asked = _neighbours_possible(distinct).join(distinct.select("h", "h2", "first"), ["h", "h2"])
+    asked = stage(asked.select(F.col("first.id").alias("i"), F.col("first.tk").alias("tk"), F.col("first.at").alias("a"), "h", "h2", "in_front", "in_back"), "lines-asked")
+    # Only texts with such a line are read again. Rows equal in id and text give a line twice; distinct and minimum do not mind.
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    holders = asked.select("i", "tk").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text")).join(holders, "tk").where(F.col("id").eqNullSafe(F.col("i")))
+    again = texts.select("id", "tk", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
+    found = again.join(asked, (again["tk"] == asked["tk"]) & (again["at"] == asked["a"]) & again["id"].eqNullSafe(asked["i"]))
+    found = stage(found.select(_place_of(again).alias("place"), "h", "h2", "in_front", "in_back", words(F.col("line")).alias("w")), "lines-found")
+
+    variants = stage(_variants(found), "lines-variants")
+    near = stage(_verified(_meetings(variants), found).select("h", "h2").distinct(), "lines-near")
+    copies = distinct.select("h", "h2", "first", "n").join(near.withColumn("near", F.lit(True)), ["h", "h2"], "left").where("n > 1 OR near")
+    gone = seen.select("id", "tk", "at", "h", "h2").join(copies, ["h", "h2"]).where(F.col("near").isNotNull() | (_place() != F.col("first")))
+    return stage(gone.groupBy("id", "tk").agg(F.collect_set("at").alias("drops")), "lines-dropped")
+
+
+def _place_of(df: DataFrame) -> Column:
+    return F.struct(df["id"].isNull().alias("x"), df["id"].alias("id"), df["tk"].alias("tk"), df["at"].alias("at"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_copies: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated lines removed, plus n_lines and n_dropped_lines.
 
     A line goes if an earlier line (by document id, then line number) is
-    equal, up to white space, or within one word edit. Lines without a word,
-    and those under MIN_WORDS words, stay; with short_copies the latter go
-    where an earlier line is equal. Null text stays null; null ids
-    come last in order; rows equal in id and text lose the same lines; an
-    empty table gives an empty result. Columns n_lines and n_dropped_lines of
-    docs are replaced.
+    equal, up to white space, or, where both have MIN_WORDS words or more,
+    within one word edit. Lines without a word stay. Null text stays null;
+    null ids come last in order; rows equal in id and text lose the same
+    lines; an empty table gives an empty result. Columns n_lines and
+    n_dropped_lines of docs are replaced; other columns pass through.
     """
-    drops = _dropped(docs, id_col, text_col, short_copies)
+    drops = _dropped(docs, id_col, text_col)
     text = F.col(text_col)
-    keyed = docs.drop("n_lines", "n_dropped_lines").withColumn("__tk", F.xxhash64(F.coalesce(text, F.lit(""))))
+    keyed = docs.drop("n_lines", "n_dropped_lines").withColumn("__tk", _text_key(text))
     out = keyed.join(drops.select(F.col("id").alias("__id"), F.col("tk").alias("__tk2"), F.col("drops").alias("__drops")), (F.col("__tk") == F.col("__tk2")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
     ls = F.split(text, "\n")
     kept = F.array_join(F.filter(ls, lambda x, i: ~F.array_contains("__drops", i)), "\n")

@@ -91,7 +91,7 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated lines, short ones as well; a document that had words and keeps none goes."""
-    out = line_dedup(docs, short_copies=True).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike("[^ \\x09-\\x0D]")))
+    out = line_dedup(docs).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike("[^ \\x09-\\x0D]")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
@@ -138,16 +138,18 @@ WORDS_SQL = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lamb
 
 
 def _op1_sql() -> str:
-    """Brute force over deletion strings: a key per line less one word, and per whole line."""
+    """Brute force over deletion strings: a key per line less one word and place, and per whole line."""
     return f"""
 WITH raw AS (SELECT doc_id, COALESCE(text, '') AS text, string_split(COALESCE(text, ''), chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM raw),
 w AS (SELECT doc_id, pos, {WORDS_SQL.format("line")} AS w FROM lines),
-e AS (SELECT doc_id, pos, array_to_string(w, ' ') AS line, w FROM w WHERE len(w) >= {MIN_WORDS}),
+e AS (SELECT doc_id, pos, array_to_string(w, ' ') AS line, w FROM w WHERE len(w) > 0),
 d AS (SELECT line, MIN((doc_id, pos)) AS place, ANY_VALUE(w) AS w FROM e GROUP BY line),
-v AS (SELECT place, line AS k FROM d UNION ALL SELECT place, array_to_string(list_concat(w[1:i], w[i + 2:]), ' ') AS k FROM (SELECT place, w, unnest(range(len(w))) AS i FROM d)),
-m AS (SELECT k, MIN(place) AS first FROM v GROUP BY k HAVING COUNT(DISTINCT place) > 1),
-near AS (SELECT DISTINCT v.place FROM v JOIN m ON m.k = v.k WHERE v.place > m.first),
+own AS (SELECT place, line AS k FROM d WHERE len(w) >= {MIN_WORDS}),
+less AS (SELECT place, i, array_to_string(list_concat(w[1:i], w[i + 2:]), ' ') AS k FROM (SELECT place, w, unnest(range(len(w))) AS i FROM d WHERE len(w) >= {MIN_WORDS})),
+same AS (SELECT i, k, MIN(place) AS first FROM less GROUP BY i, k HAVING COUNT(*) > 1),
+near AS (SELECT less.place FROM less JOIN same ON same.i = less.i AND same.k = less.k WHERE less.place > same.first
+ UNION SELECT GREATEST(less.place, own.place) FROM less JOIN own ON own.k = less.k),
 gone AS (SELECT e.doc_id, e.pos FROM e JOIN d ON d.line = e.line LEFT JOIN near ON near.place = d.place WHERE near.place IS NOT NULL OR d.place <> (e.doc_id, e.pos)),
 out AS (SELECT l.doc_id, COUNT(*) AS n_lines, COUNT(gone.pos) AS n_dropped_lines, string_agg(CASE WHEN gone.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos) AS kept FROM lines l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.pos = l.pos GROUP BY l.doc_id)
 SELECT o.doc_id, CASE WHEN s.text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dropped_lines, CASE WHEN s.text IS NOT NULL THEN length(COALESCE(kept, '')) END AS kept_chars, CASE WHEN s.text IS NOT NULL THEN md5(COALESCE(kept, '')) END AS kept_md5

@@ -76,7 +76,7 @@ def test_line_dedup(spark, empty):
         kept = []
         for line in (text or "").split("\n"):
             w = line.split()
-            dup = len(w) >= 5 and any(len(e) >= 5 and abs(len(e) - len(w)) <= 1 and edits(e, w) <= 1 for e in earlier)
+            dup = bool(w) and (w in earlier or len(w) >= 5 and any(len(e) >= 5 and abs(len(e) - len(w)) <= 1 and edits(e, w) <= 1 for e in earlier))
             earlier.append(w)
             if not dup:
                 kept.append(line)
@@ -85,6 +85,24 @@ def test_line_dedup(spark, empty):
     assert line_dedup(empty).count() == 0
 
 
+def test_line_dedup_looks_at_the_order_of_words(spark):
+    """Lines with the same words in other orders share no key, and none hides a link of another."""
+    from granary.llm.line_dedup import line_dedup
+
+    rng = random.Random(12)
+    lines = ["a b c e d f Z", "a b c d e f X", "a b c d e f Y", "x b c d e", "b c d e y", "b c d e"]
+    lines += [" ".join(rng.sample("abcdef", 6)) + rng.choice(["", " g", " h"]) for _ in range(150)]
+    lines += [" ".join(rng.choice("ab") for _ in range(rng.randrange(5, 9))) for _ in range(40)]
+    lines += [" ".join(f"w{k}" if k not in cut else "zz" for k in range(200)) for cut in ({63}, {64}, {65}, {0}, {199}, {5, 64})]
+    lines += [" ".join(f"w{k}" for k in range(200) if k != cut) for cut in (0, 63, 64, 128, 199)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["n_dropped_lines"] for r in line_dedup(df).collect()}
+    w = [x.split() for x in lines]
+    bound = lambda a, b: min(len(a), len(b)) >= 5 and abs(len(a) - len(b)) <= 1
+    assert got == {i: int(any(w[j] == w[i] or bound(w[i], w[j]) and edits(w[j], w[i]) <= 1 for j in range(i))) for i in range(len(w))}
+    assert got[2] == 1
+
+
 def test_line_dedup_stage_keeps_short_lines(spark, empty):
     """A repeated long line does not take a document of short lines with it; one left without a word goes."""
     from granary.llm.queries import stage_line_dedup
