@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,10 @@ from granary.llm.html_extract import extract_main
 from granary.llm.license_scan import K, MAX_SHIFT, MIN_COVER, license_scan, templates
 from granary.llm.line_dedup import MIN_WORDS, line_dedup
 from granary.llm.mixing import mix
-from granary.llm.near_dedup import near_groups, node_of
 from granary.llm.packing import pack
 from granary.llm.quality import quality
 from granary.llm.sharding import shard_by_rows
-from granary.llm.simhash import simhash_groups
+from granary.llm.simhash import near_groups, node_of, simhash_groups
 from granary.llm.warc import archive_pages
 from granary.runtime import shipped
 
@@ -79,38 +79,62 @@ def op10_shard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The stages of the pipeline: (spark, docs, sf_dir) -> frame; all but the last keep the columns of documents.
 
+#: Columns that the stages read or write; others go through unread, whatever their names.
+OWN = ("doc_id", "text", "source", "n_chars")
 
-def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, their texts without the lines that failed."""
+
+def _aside(stage_of: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that keeps the columns of docs: those it does not use are renamed
+    while it runs, so that no working column of an operator can replace them."""
+
+    @functools.wraps(stage_of)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        aside = {c: f"__aside{i}" for i, c in enumerate(docs.columns) if c not in OWN}
+        out = stage_of(docs.withColumnsRenamed(aside))
+        return out.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
+
+    return run
+
+
+@_aside
+def stage_quality(docs: DataFrame) -> DataFrame:
+    """Documents that the quality rules keep, their texts without the lines that failed.
+
+    Null and empty texts fail the base rules; repeated rows are judged each."""
     # The id that is not deterministic keeps the planner from copying the rules
     # into a filter below them, where each would be computed again and again.
     out = quality(docs).withColumn("__at", F.monotonically_increasing_id())
-    out = out.where("kept AND __at >= 0").withColumn("text", F.col("clean_text")).withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    out = out.where("kept AND __at >= 0").withColumn("text", F.col("clean_text"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
-def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated lines, short ones as well; a document that had words and keeps none goes."""
+@_aside
+def stage_line_dedup(docs: DataFrame) -> DataFrame:
+    """Texts without repeated lines; a document that had words and keeps none goes. Null texts stay."""
     out = line_dedup(docs).where(~((F.col("n_dropped_lines") > 0) & ~F.col("text").rlike("[^ \\x09-\\x0D]")))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
 
+@_aside
+def stage_simhash(docs: DataFrame) -> DataFrame:
+    """The document of least id, null last, of each group of near copies (see simhash.near_groups).
 
-def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id, null last, of each group of near copies (see near_dedup); of rows equal in id and text one."""
+    Of rows equal in id and text one stays; rows that share an id, or have none, but differ in text are different documents."""
     groups = near_groups(docs).select(F.col("id").alias("__id"), F.col("node").alias("__node"))
     keyed = docs.withColumn("__text", node_of(F.col("text")))
     keep = keyed.join(groups, (F.col("__text") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    return keep.dropDuplicates(["doc_id", "__node"]).select(*docs.columns)
+    return keep.dropDuplicates(["doc_id", "__node"])
 
 
-def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+@_aside
+def stage_mix(docs: DataFrame) -> DataFrame:
     """Each document as often as the mix takes it."""
     mixed, _ = mix(docs, F.array("source"))
-    copies = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return copies.select(*docs.columns)
+    return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
 
 
 def stage_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens; a null or empty text is its end id alone."""
     return pack(docs, **_vocabulary())
 
 

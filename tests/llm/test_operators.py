@@ -185,6 +185,39 @@ def test_near_dedup_is_shingle_similarity(spark, empty):
     assert stage_simhash(spark, empty, SF).count() == 0
 
 
+def test_near_dedup_of_one_large_group(spark, empty):
+    """Hundreds of edits of one text: most pairs are below the bound, the group hangs together by its lighter edits."""
+    from granary.llm.queries import stage_simhash
+
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(400):
+        at = rng.sample(range(150), rng.choice([1, 2, 3, 4, 6, 9]))
+        texts.append(" ".join(f"x{i}y{k}" if k in at else x for k, x in enumerate(base)))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = sorted(set(components(len(texts), links)))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], empty.schema).repartition(5)
+    got = sorted(r["doc_id"] for r in stage_simhash(spark, df, SF).collect())
+    assert set(want) <= set(got) and len(got) <= len(want) + 2
+
+
+def test_stages_leave_other_columns_alone(spark, empty):
+    """Columns with names that the operators use keep their values through the first four stages."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    rows = [(i, "\n".join(" ".join(rng.choice("abcdefghijkl") + str(rng.randrange(99)) for _ in range(9)) + "." for _ in range(9)), "en", "s", i) for i in range(12)]
+    names = ["n_words", "size", "copy", "copies", "kept", "__t", "id", "node", "__copy", "clean_text", "n_lines"]
+    docs = spark.createDataFrame([(*r, *(f"{c}{r[0]}" for c in names)) for r in rows], empty.columns + names)
+    for _, f in corpus_pipeline.STAGES[:4]:
+        docs = f(spark, docs, SF)
+    got = docs.collect()
+    assert docs.columns == empty.columns + names and {r["doc_id"] for r in got} == set(range(12))
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in got for c in names)
+
+
 def test_near_dedup_keeps_distinct_texts_of_equal_ids(spark, empty):
     """Null ids name no document, and of rows that share an id only those equal in text are one."""
     from granary.llm.queries import stage_simhash
