@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.embed_dedup import embedding_groups
 from granary.llm.html_extract import extract_main
-from granary.llm.license_scan import K, MAX_SHIFT, MIN_COVER, license_scan, templates
+from granary.llm.license_scan import K, MAX_SHIFT, MIN_COVER, SLACK, license_scan, templates
 from granary.llm.line_dedup import MIN_WORDS, line_dedup
 from granary.llm.mixing import mix
 from granary.llm.packing import pack
@@ -191,20 +191,27 @@ def _op4_sql() -> str:
     for i, label, base, text in templates():
         w = text.split()
         rows += [f"('{' '.join(w[j : j + K])}', {i}, '{label}', {base}, {j}, {len(w) - K + 1})" for j in range(len(w) - K + 1)]
+    texts = ", ".join(f"({i}, string_split('{text}', ' '))" for i, _, _, text in templates())
     words = r"list_filter(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    label = f"CASE WHEN (base AND places > 0) OR (NOT base AND cover >= {MIN_COVER}) THEN label END"
     return f"""
-WITH t(gram, template, label, base, pos, n) AS (VALUES {", ".join(rows)}),
+WITH RECURSIVE t(gram, template, label, base, pos, n) AS (VALUES {", ".join(rows)}),
+tw(template, tw) AS (VALUES {texts}),
 d AS (SELECT doc_id, {words} AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(w[i + 1:i + {K}], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(len(w) - {K - 1})) AS i FROM d)),
 votes AS (SELECT doc_id, template, label, base, n, i - pos AS diagonal, list_distinct(list(pos)) AS ats FROM g JOIN t USING (gram) GROUP BY 1, 2, 3, 4, 5, 6),
 steps AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {MAX_SHIFT} THEN 1 ELSE 0 END AS step FROM votes),
 numbered AS (SELECT *, SUM(step) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM steps),
 spans AS (SELECT doc_id, template, label, base, n, span, len(list_distinct(flatten(list(ats)))) AS found, SUM(CASE WHEN len(ats) = n THEN 1 ELSE 0 END) AS places,
- MIN(CASE WHEN len(ats) = n THEN diagonal END) AS first, MAX(CASE WHEN len(ats) = n THEN diagonal END) AS last FROM numbered GROUP BY 1, 2, 3, 4, 5, 6),
+ MIN(CASE WHEN len(ats) = n THEN diagonal END) AS first, MAX(CASE WHEN len(ats) = n THEN diagonal END) AS last, -MAX((len(ats), -diagonal))[2] AS peak FROM numbered GROUP BY 1, 2, 3, 4, 5, 6),
+asked AS (SELECT doc_id, template, span, tw, w[greatest(peak - side, 0) + 1:peak + len(tw) + side] AS x FROM (SELECT s.*, tw, w, CAST(floor(len(tw) * {SLACK}) AS INT) + 1 AS side FROM spans s JOIN tw USING (template) JOIN d USING (doc_id) WHERE NOT base AND places = 0 AND found / n::DOUBLE >= {MIN_COVER})),
+lcs AS (SELECT doc_id, template, span, tw, x, 0 AS k, list_transform(tw, lambda y: 0) AS r FROM asked
+ UNION ALL SELECT doc_id, template, span, tw, x, k + 1, list_transform(range(1, len(tw) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda i: greatest(r[i], CASE WHEN tw[i] = x[k + 1] THEN COALESCE(r[i - 1], 0) + 1 ELSE 0 END)))) FROM lcs WHERE k < len(x)),
+aligned AS (SELECT doc_id, template, span, r[-1] / len(tw)::DOUBLE AS aligned FROM lcs WHERE k = len(x)),
+verified AS (SELECT s.*, LEAST(found / n::DOUBLE, COALESCE(aligned, 1.0)) AS cover FROM spans s LEFT JOIN aligned USING (doc_id, template, span)),
 s AS (SELECT doc_id, CAST(COALESCE(SUM(CASE WHEN base THEN places END), 0) AS BIGINT) AS n_base, MIN(CASE WHEN base THEN first END) AS first_word, MAX(CASE WHEN base THEN last END) AS last_word,
  COALESCE(string_agg(DISTINCT CASE WHEN base AND places > 0 THEN label END, ',' ORDER BY CASE WHEN base AND places > 0 THEN label END), '') AS base_labels,
- COALESCE(string_agg(DISTINCT CASE WHEN (base AND places > 0) OR (NOT base AND found / n::DOUBLE >= {MIN_COVER}) THEN label END, ',' ORDER BY CASE WHEN (base AND places > 0) OR (NOT base AND found / n::DOUBLE >= {MIN_COVER}) THEN label END), '') AS labels,
- MAX(found / n::DOUBLE) AS score FROM spans GROUP BY doc_id)
+ COALESCE(string_agg(DISTINCT {label}, ',' ORDER BY {label}), '') AS labels, MAX(cover) AS score FROM verified GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, COALESCE(score, 0.0) AS score FROM d LEFT JOIN s ON s.doc_id = d.doc_id"""
 
 

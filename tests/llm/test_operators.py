@@ -303,6 +303,40 @@ def test_license_scan(spark, docs, empty):
     assert license_scan(empty).count() == 0
 
 
+def test_license_spans_are_aligned(spark):
+    """Single grams of a notice with foreign words between them are no copy of it; a copy with a word more, less or another is."""
+    from granary.llm.license_scan import NOTICES, license_scan
+
+    w = NOTICES[1][1].split()
+    drift = " ".join(" ".join([*w[i : i + 3], f"foreign{i}"]) for i in range(len(w) - 2))
+    edited = " ".join(["before", *w[:8], "more", *w[8:15], "other", *w[16:], "after"])
+    twice = "all rights reserved. All rights reserved"
+    swapped = " ".join(w[len(w) // 2 :] + w[: len(w) // 2])
+    rows = [(1, drift), (2, edited), (3, twice), (4, " ".join(w)), (5, swapped), (6, f"{' '.join(w)} x {' '.join(w)}")]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: "", 2: "mit", 3: "all-rights-reserved", 4: "mit", 5: "", 6: "mit"}
+    assert got[1][1] < 0.8 <= got[2][1] < 1 == got[4][1]
+
+
+def test_in_order_is_the_longest_common_subsequence(spark):
+    from pyspark.sql import functions as F
+
+    from granary.llm.license_scan import in_order
+
+    def lcs(a, b):
+        d = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, d[j + 1] = d[j + 1], last + 1 if x == y else max(d[j + 1], d[j])
+        return d[-1]
+
+    rng = random.Random(6)
+    rows = [([rng.choice("abcd") for _ in range(rng.randrange(12))], [rng.choice("abcd") for _ in range(rng.randrange(1, 9))]) for _ in range(60)]
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>")
+    assert all(r["n"] == lcs(r["a"], r["b"]) for r in df.withColumn("n", in_order(F.col("a"), F.col("b"))).collect())
+
+
 def test_quality(spark, docs, empty):
     from granary.llm.quality import quality
 
