@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,8 @@ from granary.llm.text import n_words
 from granary.runtime import stage
 
 SEED = 20240501
-BUCKETS = 4096
+#: Membership patterns that the driver routes, and with them the size of what is broadcast.
+PATTERNS = 10_000
 
 
 def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, most: float) -> list[float]:
@@ -33,8 +35,9 @@ def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, mos
     return out
 
 
-def min_cost_flow(patterns: Sequence[tuple[Sequence[int], float]], quotas: Sequence[float], costs: Sequence[float]) -> list[float]:
-    """Tokens to take from each pattern (member sources, tokens) for the quotas.
+def min_cost_flow(patterns: Sequence[tuple[Sequence[int], float]], quotas: Sequence[float], costs: Sequence[float]) -> tuple[list[float], list[dict[int, float]]]:
+    """Tokens to take from each pattern (member sources, tokens) for the quotas,
+    and how many of them each pattern sends to each of its sources.
 
     The e-th repetition of a pattern's tokens costs costs[e] a token
     (increasing, so the cost is convex and early repetitions fill first).
@@ -62,10 +65,10 @@ def min_cost_flow(patterns: Sequence[tuple[Sequence[int], float]], quotas: Seque
         arc(2 + len(patterns) + s, 1, float(q), 0.0)
     tiny = 1e-9 * max([1.0, *map(float, quotas)])
     while True:
-        far, via, queue, inside = [float("inf")] * n, [-1] * n, [0], [False] * n
+        far, via, queue, inside = [float("inf")] * n, [-1] * n, deque([0]), [False] * n
         far[0] = 0.0
         while queue:
-            x = queue.pop(0)
+            x = queue.popleft()
             inside[x] = False
             for e in graph[x]:
                 if room[e] > tiny and far[x] + price[e] < far[to[e]] - 1e-12:
@@ -83,11 +86,13 @@ def min_cost_flow(patterns: Sequence[tuple[Sequence[int], float]], quotas: Seque
         for e in path:
             room[e] -= push
             room[e ^ 1] += push
-    taken, e = [], 0
+    taken, routes, e = [], [], 0
     for members, _ in patterns:
         taken.append(sum(room[e + 2 * i + 1] for i in range(len(costs))))
-        e += 2 * (len(costs) + len(members))
-    return taken
+        e += 2 * len(costs)
+        routes.append({s: room[e + 2 * i + 1] for i, s in enumerate(members)})
+        e += 2 * len(members)
+    return taken, routes
 
 
 def mix(
@@ -111,15 +116,18 @@ def mix(
     those first in a seeded order once more until the flow is met, to within
     half a document. No document is taken more than `most` times.
 
-    The driver sees one row per membership pattern; the order is found by
-    hash bucket, and only the bucket where the cut falls is sorted. Rows
+    The driver sees one row per membership pattern, and refuses more than
+    PATTERNS of them: sources are tens, not hosts. The order is found by hash
+    bucket, and only the bucket where the cut falls is sorted. Rows
     equal in id and text tie and are taken alike. Null text has size 0.
     """
     u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 1)
     seen = docs.select(F.to_json(members, {"ignoreNullFields": "false"}).alias("pattern"), n_words(F.col(text_col)).alias("size"), u.alias("u"))
     bucket = F.shiftright("u", 51).alias("bucket")
     by_bucket = stage(seen.groupBy("pattern", bucket).agg(F.sum("size").alias("size")), "mix")
-    patterns = sorted((r["pattern"], r["size"]) for r in by_bucket.groupBy("pattern").agg(F.sum("size").alias("size")).collect())
+    patterns = sorted((r["pattern"], r["size"]) for r in by_bucket.groupBy("pattern").agg(F.sum("size").alias("size")).limit(PATTERNS + 1).collect())
+    if len(patterns) > PATTERNS:
+        raise ValueError(f"{len(patterns)} membership patterns; the flow is laid out for {PATTERNS}")
     spark = docs.sparkSession
     import json
 
@@ -129,7 +137,7 @@ def mix(
     sizes = [sum(t for s, (_, t) in zip(sets, patterns, strict=True) if x in s) for x in names]
     shares = [float(weights[i % len(weights)]) for i in range(len(names))]
     targets = water_fill(sizes, shares, budget * sum(t for _, t in patterns), float(most))
-    flows = min_cost_flow([([index[x] for x in s], t) for s, (_, t) in zip(sets, patterns, strict=True)], targets, [2.0**e - 1 for e in range(most)])
+    flows, _ = min_cost_flow([([index[x] for x in s], t) for s, (_, t) in zip(sets, patterns, strict=True)], targets, [2.0**e - 1 for e in range(most)])
     plan = []
     for (p, t), f in zip(patterns, flows, strict=True):
         whole = min(most, int(f / t + 1e-9)) if t else 0

@@ -382,7 +382,34 @@ def test_mixing(spark, docs, empty):
     assert mix(empty, F.array("source"))[0].count() == 0
     assert water_fill([10, 100], [5, 1], 110, 2) == [20, 90]
     # Overlap: the shared pattern serves the source that has nothing else, before anything is repeated.
-    assert min_cost_flow([([0], 10.0), ([0, 1], 10.0)], [10.0, 10.0], [0.0, 1.0]) == [10.0, 10.0]
+    assert min_cost_flow([([0], 10.0), ([0, 1], 10.0)], [10.0, 10.0], [0.0, 1.0]) == ([10.0, 10.0], [{0: 10.0}, {0: 0.0, 1: 10.0}])
+
+
+def test_flow_over_random_overlaps():
+    """Every arc's flow is feasible, and total and cost are those of the best integer plan, by trying all."""
+    from itertools import product
+
+    from granary.llm.mixing import min_cost_flow
+
+    rng = random.Random(10)
+    for _ in range(60):
+        sources = rng.randint(1, 3)
+        patterns = [(sorted(rng.sample(range(sources), rng.randint(1, sources))), float(rng.randint(0, 2))) for _ in range(rng.randint(1, 3))]
+        quotas = [float(rng.randint(0, 4)) for _ in range(sources)]
+        cost = lambda n, tokens: max(0.0, n - tokens)  # noqa: E731  the second time costs 1 a token
+        best = (0.0, 0.0)
+        arcs = [(p, s) for p, (members, _) in enumerate(patterns) for s in members]
+        if len(arcs) > 5:
+            continue
+        for plan in product(range(5), repeat=len(arcs)):
+            out = [sum(f for f, (p, _) in zip(plan, arcs, strict=True) if p == k) for k in range(len(patterns))]
+            into = [sum(f for f, (_, s) in zip(plan, arcs, strict=True) if s == k) for k in range(sources)]
+            if all(n <= 2 * t for n, (_, t) in zip(out, patterns, strict=True)) and all(n <= q for n, q in zip(into, quotas, strict=True)):
+                best = max(best, (float(sum(out)), -sum(cost(n, t) for n, (_, t) in zip(out, patterns, strict=True))))
+        taken, routes = min_cost_flow(patterns, quotas, [0.0, 1.0])
+        assert all(set(r) == set(m) and sum(r.values()) == pytest.approx(n) and min(r.values()) >= -1e-9 for r, (m, _), n in zip(routes, patterns, taken, strict=True))
+        assert all(sum(r.get(s, 0.0) for r in routes) <= q + 1e-6 for s, q in enumerate(quotas))
+        assert (sum(taken), -sum(cost(n, t) for n, (_, t) in zip(taken, patterns, strict=True))) == pytest.approx(best)
 
 
 PAGE = """<html><head><title>T</title></head><body class="page"><header><h1>Site</h1></header><nav><a href=/>Home</a></nav><div class="cookie-notice">We use cookies</div>
@@ -434,6 +461,10 @@ def test_html_cuts_repeated_contents_on_hosts_of_any_size(spark):
         ("<p>The mayor<button>Share</button>said so.</p>", "The mayor said so."),
         ('<p>The mayor <span class="ad">buy <b>now</b></span>said so.', "The mayor said so."),
         ("<nav>Home</nav><br>The mayor said so.", "The mayor said so."),
+        ("<main><p>The mayor said a good deal.</p><article>teaser</article></main>", "The mayor said a good deal. teaser"),
+        ("<main><p>Up</p><article>The mayor said so.</article></main><article>Other</article>", "The mayor said so."),
+        ('<div class="social-science">The mayor</div><div id="page-legal-history">said</div><p class="side-effects lead">so.</p>', "The mayor said so."),
+        ('<div class="x cookie-notice">No</div><div class="shareButtons">No</div><div id="sidebar-left-2">No</div><p class="comments_list">No</p>The mayor.', "The mayor."),
         ("<nav>Home<p>Top</p><br>of <![CDATA[the]]> page</nav><p>The mayor said so.</p>", "The mayor said so."),
         ('<p>The mayor said so.<span class="share"> <br>Share</span></p><p><span class="share">Share</span></p>', "The mayor said so."),
     ],
@@ -444,6 +475,31 @@ def test_html_inline_furniture(page, want):
     assert main_text(page, set(), set()) == want
 
 
+def test_composite_importance_of_a_small_site():
+    """Against the definition, written down recursively."""
+    from granary.llm.html_extract import GAMMA, SEP, composite
+
+    rng = random.Random(7)
+    for _ in range(50):
+        paths = {f"{SEP}html"}
+        for _ in range(rng.randrange(12)):
+            paths.add(rng.choice(sorted(paths)) + SEP + rng.choice(["p", "p.a", "div", "div.x"]))
+        nodes = {p: (rng.randint(1, 9), rng.randint(1, 4), rng.random(), rng.random() if rng.random() < 0.6 else None) for p in paths}
+
+        def value(p, nodes=nodes):
+            m, styles, shown, leaf = nodes[p]
+            below = [(nodes[q][0], value(q)) for q in nodes if q.rpartition(SEP)[0] == p] + ([] if leaf is None else [(m, leaf)])
+            if not below:
+                return shown
+            return (1 - GAMMA**styles) * shown + GAMMA**styles * sum(w * x for w, x in below) / sum(w for w, _ in below)
+
+        got = {p: (x, high) for p, x, high in composite((p, *nodes[p]) for p in sorted(nodes))}
+        assert set(got) == set(nodes)
+        for p, (x, high) in got.items():
+            branch = [q for q in nodes if q == p or q.startswith(p + SEP)]
+            assert x == pytest.approx(value(p)) and high == pytest.approx(max([*map(value, branch), *(nodes[q][3] for q in branch if nodes[q][3] is not None)]))
+
+
 def test_embeddings(spark):
     from granary.llm.embed_dedup import embedding_groups
 
