@@ -1,7 +1,8 @@
 """Corpus pipeline: quality rules, line dedup, near-dedup, mixing, packing.
 
 Each stage is written as Parquet to the shared folder and read again, so a
-lost executor costs at most the stage that was running.
+lost executor costs at most the stage that was running. The result stays there
+until the application ends.
 """
 
 from __future__ import annotations

@@ -34,17 +34,41 @@ def local_session(cores: str = "8", partitions: int = 8, **conf: str) -> SparkSe
 def scratch_root(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Where the session names none (tests), one is made and set on the session.
+    Where the session names none, a local one (tests) makes one and sets it;
+    on a cluster that is an error, as executors share no local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='granary-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+#: Folders of scratch tables by application, in the order they were written.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new path in this application's scratch folder, which goes when the driver ends in order."""
+    app = spark.sparkContext.applicationId
+    home = f"{scratch_root(spark)}/granary-{app}"
+    if app not in _WRITTEN:
+        _WRITTEN[app] = []
+        fs, at = _folder(spark, home)
+        fs.mkdirs(at)  # only what exists can be marked
+        fs.deleteOnExit(at)
+    path = f"{home}/{tag}-{uuid.uuid4().hex}"
+    _WRITTEN[app].append(path)
+    return path
 
 
 def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
@@ -58,6 +82,19 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, but: DataFrame) -> None:
+    """Delete the scratch tables written so far, but for the one that `but` reads.
+
+    For a caller whose one live frame is staged: nothing else may be read afterwards.
+    """
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    kept = [p for p in written if any(p.rsplit("/", 1)[1] in f for f in but.inputFiles())]
+    for path in set(written) - set(kept):
+        fs, at = _folder(spark, path)
+        fs.delete(at, True)
+    written[:] = kept
+
+
 _SHIPPED: set[str] = set()
 
 
