@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.runtime import stage
+from granary.runtime import scratch, stage
 
 
 def _priority(c: Column, salt: int) -> Column:
@@ -24,6 +24,13 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     without usable edges gives an empty result. Edge direction and repeats do
     not matter.
     """
+    with scratch(edges.sparkSession) as keep:
+        out = _contract(edges, src, dst)
+        keep.append(out)
+    return out
+
+
+def _contract(edges: DataFrame, src: str, dst: str) -> DataFrame:
     kind = edges.schema[src].dataType
     e = stage(
         edges.select(F.col(src).alias("a"), F.col(dst).cast(kind).alias("b"))

@@ -6,7 +6,9 @@ import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,13 +49,14 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-#: Folders of scratch tables by application, in the order they were written.
-_WRITTEN: dict[str, list[str]] = {}
+#: Applications whose scratch folder is marked to go.
+_MARKED: set[str] = set()
+#: Scratch tables of the innermost scratch() block.
+_OWN: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def _folder(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
@@ -61,14 +64,12 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new path in this application's scratch folder, which goes when the driver ends in order."""
     app = spark.sparkContext.applicationId
     home = f"{scratch_root(spark)}/granary-{app}"
-    if app not in _WRITTEN:
-        _WRITTEN[app] = []
+    if app not in _MARKED:
         fs, at = _folder(spark, home)
         fs.mkdirs(at)  # only what exists can be marked
         fs.deleteOnExit(at)
-    path = f"{home}/{tag}-{uuid.uuid4().hex}"
-    _WRITTEN[app].append(path)
-    return path
+        _MARKED.add(app)
+    return f"{home}/{tag}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
@@ -78,21 +79,30 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     frame has true sizes for the planner.
     """
     path = scratch_path(df.sparkSession, tag)
+    if (own := _OWN.get()) is not None:
+        own.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, but: DataFrame) -> None:
-    """Delete the scratch tables written so far, but for the one that `but` reads.
-
-    For a caller whose one live frame is staged: nothing else may be read afterwards.
-    """
-    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
-    kept = [p for p in written if any(p.rsplit("/", 1)[1] in f for f in but.inputFiles())]
-    for path in set(written) - set(kept):
-        fs, at = _folder(spark, path)
-        fs.delete(at, True)
-    written[:] = kept
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Deletes the tables staged in the block at its end, but for those of the
+    frames put on the list: for functions whose result is staged itself."""
+    outer, own, keep = _OWN.get(), [], []
+    token = _OWN.set(own)
+    try:
+        yield keep
+    finally:
+        _OWN.reset(token)
+        read = " ".join(f for df in keep for f in df.inputFiles())
+        for path in own:
+            if path.rsplit("/", 1)[1] in read:
+                if outer is not None:
+                    outer.append(path)
+            else:
+                fs, at = _folder(spark, path)
+                fs.delete(at, True)
 
 
 _SHIPPED: set[str] = set()
