@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.text import words
-from granary.runtime import stage
+from granary.runtime import scratch, stage
 
 #: Lines of fewer words are held for equality only.
 MIN_WORDS = 5
@@ -191,7 +191,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines; an empty table gives an empty result. Columns n_lines and
     n_dropped_lines of docs are replaced; other columns pass through.
     """
-    drops = _dropped(docs, id_col, text_col)
+    with scratch(docs.sparkSession) as keep:
+        drops = _dropped(docs, id_col, text_col)
+        keep.append(drops)
     text = F.col(text_col)
     keyed = docs.drop("n_lines", "n_dropped_lines").withColumn("__tk", _text_key(text))
     out = keyed.join(drops.select(F.col("id").alias("__id"), F.col("tk").alias("__tk2"), F.col("drops").alias("__drops")), (F.col("__tk") == F.col("__tk2")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")

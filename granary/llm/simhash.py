@@ -14,7 +14,9 @@ Nothing within t bits is missed. The number of anchors a fingerprint goes to
 Near copies by shingle similarity (near_groups) take the same covering on wide
 fingerprints. Texts whose sets of five-word shingles have a Jaccard similarity
 of SIMILARITY differ in 15 % of their bits, far more than a covering of 64
-bits can bridge selectively. So WIDE bits are sampled COVERINGS times, 46 bits
+bits can bridge selectively. So, of the texts that share one of their LEAST
+lowest shingle hashes with another text (a pair at 0.8 shares none with
+probability 0.2^LEAST, 3e-6; the others have no near copy), WIDE bits are sampled COVERINGS times, 46 bits
 each; a sample is covered by G x G with threshold 0 and goes to every anchor
 within the covering radius, which for a perfect code is one. A pair at 0.8
 shares an anchor of a covering with probability 0.03 to 0.04, of any of them
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.text import utf8
 from granary.operators.graph import connected_components
-from granary.runtime import stage
+from granary.runtime import scratch, stage
 
 SEED = 42
 # Fixed value: generator polynomial of the binary Golay code of length 23.
@@ -47,6 +49,7 @@ WIDTH = 5
 SIMILARITY = (4, 5)
 #: Bits of a wide fingerprint, and samples of 46 of them that are covered.
 WIDE, COVERINGS = 1024, 160
+LEAST = 8
 #: Bits in which near copies may differ: 0.1515 x WIDE expected at 0.8, and four deviations.
 MAX_APART = 200
 
@@ -233,17 +236,18 @@ def node_of(text: Column) -> Column:
 
 
 def _wide(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, node, fp): wide fingerprints as arrays of longs. Map-side only."""
+    """(id, node, fp, least): wide fingerprints and lowest shingle hashes as arrays of longs. Map-side only."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                fps = [wide_fingerprint(shingles(t.as_py())).view(np.int64) for t in part.column(2)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.list_(pa.int64()))], names=["id", "node", "fp"])
+                sets = [shingles(t.as_py()) for t in part.column(2)]
+                fps, least = [wide_fingerprint(h).view(np.int64) for h in sets], [h[:LEAST].view(np.int64) for h in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(x, pa.list_(pa.int64())) for x in (fps, least))], names=["id", "node", "fp", "least"])
 
-    return docs.select(F.col(id_col).alias("id"), node_of(F.col(text_col)).alias("node"), utf8(F.col(text_col)).alias("t")).mapInArrow(run, f"id {kind}, node bigint, fp array<bigint>")
+    return docs.select(F.col(id_col).alias("id"), node_of(F.col(text_col)).alias("node"), utf8(F.col(text_col)).alias("t")).mapInArrow(run, f"id {kind}, node bigint, fp array<bigint>, least array<bigint>")
 
 
 def _covered(nodes: DataFrame) -> DataFrame:
@@ -319,8 +323,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     leaves in different components, and whose fingerprints are near enough,
     are compared with each other.
     """
+    with scratch(docs.sparkSession) as keep:
+        out = _near_groups(docs, id_col, text_col)
+        keep.append(out)
+    return out
+
+
+def _near_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = stage(_wide(docs, id_col, text_col), "near-rows")
-    nodes = stage(rows.groupBy("node").agg(F.first("fp").alias("fp")), "near-nodes")
+    least = rows.select("node", F.explode("least").alias("h")).distinct()
+    shared = least.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    asked = least.join(shared, "h").select("node").distinct()
+    nodes = stage(rows.join(asked, "node").groupBy("node").agg(F.first("fp").alias("fp")), "near-nodes")
     sent = _covered(nodes)
     # Exclusive or with the anchor's own mask orders its members by lot, and gives the first one back.
     mask = F.xxhash64("anchor")
