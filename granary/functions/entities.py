@@ -15,7 +15,7 @@ ARTIST_CLASSES = ("Q5", "Q215380", "Q5741069", "Q2088357", "Q9212979")
 WORK_CLASSES = ("Q7366", "Q134556", "Q105543609", "Q2894096", "Q7302866")
 INSTANCE_OF, PERFORMER, COMPOSER, LYRICIST = "P31", "P175", "P86", "P676"
 CATALOGUE_ARTIST, PUBLISHED, INCEPTION = "P434", "P577", "P571"
-# Words that are attached to a credit, longest alternatives first where they overlap.
+# Words that are attached to a credit, in the order they are looked for.
 CREDIT_WORDS = ("שרים", "שר", "שרה", "בביצוע", "ביצוע", "מארחים את", "מארחים", "מברך", "קריוקי", "פלייבק", "ישראלי מזרחי", "מזרחי", "כוכב נולד", "הפקות")
 
 ENTITY = "struct<labels: map<string, struct<value: string>>, claims: map<string, array<struct<mainsnak: struct<snaktype: string, datavalue: struct<value: string>>>>>>"
@@ -55,15 +55,15 @@ def entity_year(entity: Column) -> Column:
     return F.get(F.filter(years, lambda y: (y != "") & (y != "0000")), F.lit(0))
 
 
-_ANY = "|".join(sorted(map(re.escape, CREDIT_WORDS), key=len, reverse=True))
-_EDGE = re.compile(rf"^(?:{_ANY})(?:\s+|$)|(?:^|\s+)(?:{_ANY})$")
-
-
 def strip_credit(text: str, times: int = 3) -> str:
     """text without credit words at its ends; unchanged where nothing else would be left."""
     whole = bare = " ".join(text.split())
     for _ in range(times):
-        bare = _EDGE.sub("", bare, count=1)
+        word = next((w for w in CREDIT_WORDS if bare == w or bare.endswith(f" {w}") or bare.startswith(f"{w} ")), None)
+        if word is None:
+            break
+        last = bare == word or bare.endswith(f" {word}")
+        bare = (bare.removesuffix(word) if last else bare.removeprefix(word)).strip()
     return bare or whole
 
 

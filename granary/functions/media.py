@@ -31,8 +31,8 @@ def classify_decode(returncode: Column, stderr: Column) -> Column:
 
 
 def card_layout(r: Column, g: Column, b: Column) -> Column:
-    """dark, purple or unknown by the mean colour of a frame."""
-    return F.when(F.greatest(r, g, b) < 60, "dark").when((r > g + 20) & (b > g + 20), "purple").otherwise("unknown")
+    """The card's layout by the mean colour of a frame: nearly black, or purple, red and blue above green."""
+    return F.when(F.greatest(r, g, b) < 60, "karaoke_channel_like").when(F.least(r, b) > g, "karafun_like").otherwise("unknown")
 
 
 def year_of(value: Column) -> Column:

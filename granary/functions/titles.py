@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from granary.functions.stems import undecorate, uninvert
-from granary.functions.text import agreement, match_name, tokens
+from granary.functions.stems import undecorate
+from granary.functions.text import JUNK_VALUES, agreement, match_name, tokens
 
-# Tag contents that say nothing, and the length at which old tags are cut.
-JUNK_TAGS = ("", "unknown", "unknown artist", "untitled", "track", "artist", "title", "various", "various artists", "karaoke")
-TAG_BYTES = 30
-TAG_CONFIDENCE = {"agree": 0.8, "alone": 0.7, "truncated_prefix": 0.7, "disagree": 0.4}
+# Confidence of a tag by how it stands to the file name; a cut tag agrees.
+TAG_CONFIDENCE = {"agree": 0.8, "truncated_prefix": 0.8, "alone": 0.7, "disagree": 0.4}
 
 
 def base_title(t: Column) -> Column:
@@ -27,8 +27,6 @@ def merge_title(theirs: Column, ours: Column) -> Column:
 
 def title_agreement(ours: str | None, theirs: str | None) -> float:
     """The better of whole and bracket-free agreement."""
-    import re
-
     bare = lambda s: re.sub(r"[(\[][^)\]]*[)\]]|[(\[].*$", " ", s or "")
     return max(agreement(ours, theirs), agreement(bare(ours), bare(theirs)))
 
@@ -40,20 +38,34 @@ def artist_agreement(ours: str | None, theirs: str | None) -> float:
     return max(agreement(ours, theirs), 0.95 if held else 0.0)
 
 
-def clean_tag(value: str | None) -> str | None:
-    """A tag without decorations and inversion; None if it says nothing."""
-    text, _ = undecorate(" ".join((value or "").split()))
-    if "&" not in text and " and " not in text.lower() and len(text.rpartition(",")[2].split()) <= 2:
-        text = uninvert(text)
-    return None if text.lower() in JUNK_TAGS else text
+def turned(artist: str) -> str:
+    """"Last, Given Names" in spoken order; names of groups, which have commas too, stay as they are."""
+    last, comma, given = (x.strip() for x in artist.partition(","))
+    parts = (last, given)
+    group = any("&" in x or "," in x or re.search(r"\band\b", x, re.I) for x in parts)
+    fits = 2 <= len(last) <= 30 and 1 <= len(given) <= 30 and len(given.split()) <= 2 and re.search(r",\s", artist)
+    return f"{given} {last}" if comma and fits and not group else artist
+
+
+def clean_tag(value: str | None, is_artist: bool = False) -> str | None:
+    """A tag without decorations, an artist's without inversion; None if it says nothing: junk, a number, a track number."""
+    text = (value or "").strip().strip("\0").strip()
+    if text.lower() in JUNK_VALUES or re.fullmatch(r"(track\s*)?\d+", text, re.I):
+        return None
+    text, _ = undecorate(text)
+    return (turned(text.strip()) if is_artist else text.strip()) or None
 
 
 def tag_against_name(tag: Column, name: Column) -> Column:
-    """absent, alone, truncated_prefix, agree or disagree of a tag and the file name's field."""
+    """absent, alone, truncated_prefix, agree or disagree of a tag and the file name's field.
+
+    They agree if they are equal or share a word; a shorter tag that begins
+    the field is then the same fact, cut.
+    """
     t, n = F.lower(F.trim(tag)), F.lower(F.trim(name))
-    cut = (F.octet_length(F.trim(tag)) >= TAG_BYTES) & n.startswith(t)
-    shared = F.arrays_overlap(tokens(tag), tokens(name))
-    return F.when(tag.isNull() | (t == ""), "absent").when(name.isNull() | (n == ""), "alone").when(cut, "truncated_prefix").when((t == n) | shared, "agree").otherwise("disagree")
+    agree = (t == n) | F.arrays_overlap(tokens(tag), tokens(name))
+    cut = (F.length(t) < F.length(n)) & n.startswith(t)
+    return F.when(tag.isNull(), "absent").when(name.isNull() | (name == ""), "alone").when(~agree, "disagree").when(cut, "truncated_prefix").otherwise("agree")
 
 
 def transliteration_guard(ours: Column, theirs: Column, source_is_hebrew: Column) -> Column:

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.fingerprint import pair_similarity
-from granary.functions.text import tokens
+from granary.functions.text import fold_key, udf_of
 from granary.operators.graph import connected_components
 from granary.operators.joins import band_pairs, contained
 from granary.operators.merge import adopt_nameless, constrained_components
+from granary.runtime import stage
 
 
 @dataclass(frozen=True)
@@ -43,25 +44,44 @@ def audio_edges(items: DataFrame, cfg: Config = Config()) -> DataFrame:
 
 
 def signature(artist: Column, title: Column, cfg: Config = Config()) -> Column:
-    """Sorted distinct tokens of artist and title; null if one is missing, both are equal, or too few."""
-    t = tokens(F.concat_ws(" ", artist, title))
-    ok = artist.isNotNull() & title.isNotNull() & (F.lower(F.trim(artist)) != F.lower(F.trim(title))) & (F.size(t) >= cfg.min_tokens)
-    return F.when(ok, t)
+    """Sorted distinct tokens of the keys of artist and title; null if one has no key, both are equal, or too few."""
+    a, t = key(artist), key(title)
+    all_ = F.array_sort(F.array_distinct(F.split(F.concat_ws(" ", a, t), " ")))
+    return F.when(a.isNotNull() & t.isNotNull() & (a != t) & (F.size(all_) >= cfg.min_tokens), all_)
+
+
+def key(name: Column) -> Column:
+    return udf_of(fold_key, "string")(name)
+
+
+def _more_artist(small: tuple[Column, Column], large: tuple[Column, Column]) -> Column:
+    """Whether large is small with more words in its artist only, its fields in the same or in crossed order.
+
+    A longer title is another song, so the title must be equal.
+    """
+    artist, title = small
+    below = lambda x, y: (F.size(F.array_except(x, y)) == 0) & (F.size(x) < F.size(y))
+    return ((title == large[1]) & below(artist, large[0])) | ((title == large[0]) & below(artist, large[1]))
 
 
 def name_edges(items: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """(a, b, strength, merge) of items with one signature or a contained one.
+    """(a, b, strength, merge) of items with one signature, or one contained in the other by more words of the artist.
 
     Groups over edge_group items give no pairs (they are no evidence), so a
     group's pairs are bounded by the configuration. Pairs whose instrumental
     flags are yes and no are never merged.
     """
-    s = items.withColumn("tokens", signature(F.col("artist"), F.col("title"), cfg)).where("tokens IS NOT NULL").withColumn("sig", F.array_join("tokens", " "))
+    words = lambda c: F.array_sort(F.array_distinct(F.split(key(F.col(c)), " ")))
+    s = items.select("id", signature(F.col("artist"), F.col("title"), cfg).alias("tokens"), words("artist").alias("artist"), words("title").alias("title"))
+    s = stage(s, "names").where("tokens IS NOT NULL").withColumn("sig", F.array_join("tokens", " "))
     sized = s.withColumn("n", F.count("*").over(Window.partitionBy("sig"))).where(F.col("n").between(2, cfg.edge_group))
     left, right = sized.select("sig", "n", F.col("id").alias("a")), sized.select("sig", F.col("id").alias("b"))
     same = left.join(right, "sig").where("a < b").select("a", "b", F.lit(1.0).alias("strength"), (F.col("n") <= cfg.merge_group).alias("merge"))
     sets = s.select("id", "tokens")
     held = contained(sets, sets, cfg.contain_tokens, cfg.contain_ratio, cfg.max_postings).where("small_id <> large_id AND strength < 1")
+    sides = [s.select(F.col("id").alias(f"{x}_id"), F.col("artist").alias(f"{x}_artist"), F.col("title").alias(f"{x}_title")) for x in ("small", "large")]
+    held = held.join(sides[0], "small_id").join(sides[1], "large_id")
+    held = held.where(_more_artist((F.col("small_artist"), F.col("small_title")), (F.col("large_artist"), F.col("large_title"))))
     held = held.select(F.least("small_id", "large_id").alias("a"), F.greatest("small_id", "large_id").alias("b"), F.round("strength", 4).alias("strength"), F.lit(True).alias("merge"))
     pairs = same.unionByName(held).groupBy("a", "b").agg(F.max("strength").alias("strength"), F.max("merge").alias("merge"))
     flag = items.select("id", F.coalesce("instrumental", F.lit("unknown")).alias("f"))

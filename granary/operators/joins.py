@@ -28,12 +28,13 @@ def contained(small: DataFrame, large: DataFrame, min_tokens: int, ratio: float,
     rarest token only, and only if at most max_postings large sets have it;
     strength = |small| / |large| must reach ratio.
     """
-    postings = large.select("id", F.size("tokens").alias("large_n"), "tokens", F.explode("tokens").alias("token"))
+    postings = large.select(F.col("id").alias("large_id"), F.explode("tokens").alias("token"))
     rarity = postings.groupBy("token").agg(F.count("*").alias("df"))
     asked = small.where(F.size("tokens") >= min_tokens).select("id", "tokens", F.explode("tokens").alias("token")).join(rarity, "token", "left")
     rarest = asked.groupBy("id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token")).alias("k"), F.first("tokens").alias("t"))
     rarest = rarest.where(f"k.df > 0 AND k.df <= {max_postings}").select(F.col("id").alias("small_id"), "t", F.col("k.token").alias("token"))
-    hits = rarest.join(postings.select(F.col("id").alias("large_id"), "tokens", "token"), "token")
+    # Sets travel once to the hits they have, not once with each of their tokens.
+    hits = rarest.join(postings, "token").join(large.select(F.col("id").alias("large_id"), "tokens"), "large_id")
     hits = hits.where(F.size(F.array_except("t", "tokens")) == 0).withColumn("strength", F.size("t") / F.size("tokens"))
     return hits.where(F.col("strength") >= ratio).select("small_id", "large_id", "strength")
 

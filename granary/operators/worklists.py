@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SURVIVOR = ("winner", "sole_copy")
+# Layouts by what is to be asked about them, and file types that are no media.
+HARD_LAYOUTS = ("title_artist", "title_only", "title_artist_from_folder", "disc_title_only", "style_of")
+AMBIGUOUS_LANGUAGES = ("he",)
+CONTROL_LAYOUTS = ("artist_title", "disc_artist_title")
 NON_MEDIA = ("db", "ini", "bat", "jar", "sfk", "part", "jpg", "jpeg", "png", "gif", "bmp", "txt", "doc", "docx", "pdf", "url", "lnk", "nfo", "m3u", "pls", "sfv", "exe", "none")
 
 
@@ -100,15 +104,17 @@ def catalogue(items: DataFrame, wide: DataFrame, metadata: DataFrame, source: st
     return items.where(F.col("quality_verdict").isin(*SURVIVOR)).join(m, "id").join(known, "id", "left_anti").join(handled, "id", "left_anti")
 
 
-def in_workset(layout: Column) -> Column:
-    """Layouts worth asking about; an unknown one is out."""
-    return F.coalesce(layout.isin("title_artist", "title_only", "style_of", "artist_title"), F.lit(False))
+def in_workset(layout: Column, language: Column) -> Column:
+    """Layouts worth asking about; an unknown one is out. That of artist and title is one where the script does not settle their order."""
+    unsettled = (layout == "artist_title") & language.isin(*AMBIGUOUS_LANGUAGES)
+    return F.coalesce(layout.isin(*HARD_LAYOUTS) | unsettled, F.lit(False))
 
 
-def is_control(layout: Column) -> Column:
-    return ~in_workset(layout) & layout.isNotNull()
+def is_control(layout: Column, language: Column) -> Column:
+    """Layouts held to be safe, sampled to see whether they are."""
+    return F.coalesce(layout.isin(*CONTROL_LAYOUTS), F.lit(False)) & ~in_workset(layout, language)
 
 
 def in_sweep(layout: Column) -> Column:
-    """Everything but what cannot be asked about; an unknown or missing layout is in."""
-    return ~F.coalesce(layout.isin("non_media", "opaque", "unparsed"), F.lit(False))
+    """Everything but what is no song; an unknown or missing layout is in."""
+    return F.coalesce(layout != "non_media", F.lit(True))

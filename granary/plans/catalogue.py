@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from granary.plans import clustering, inventory, titles, views  # noqa: F401  (they register)
+from granary.plans import clustering, inventory, rulebook, titles, views  # noqa: F401  (they register)
 from granary.plans.registry import QUERIES, SQL
 
 

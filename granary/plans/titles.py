@@ -23,8 +23,8 @@ def title_qualifiers(t):
 
 
 @query("""WITH x AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN p_name WHEN 2 THEN upper(p_name) WHEN 3 THEN substr(repeat(p_name || ' ', 4), 1, 30) ELSE 'other' END AS tag, CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN repeat(p_name || ' ', 4) ELSE p_name END AS name FROM part)
- SELECT p_partkey, CASE WHEN tag IS NULL OR trim(tag) = '' THEN 'absent' WHEN name IS NULL OR trim(name) = '' THEN 'alone' WHEN strlen(trim(tag)) >= 30 AND starts_with(lower(trim(name)), lower(trim(tag))) THEN 'truncated_prefix'
- WHEN lower(trim(tag)) = lower(trim(name)) OR list_has_any(string_split(lower(trim(tag)), ' '), string_split(lower(trim(name)), ' ')) THEN 'agree' ELSE 'disagree' END AS outcome FROM x""")
+ SELECT p_partkey, CASE WHEN tag IS NULL THEN 'absent' WHEN name IS NULL OR name = '' THEN 'alone' WHEN NOT (lower(trim(tag)) = lower(trim(name)) OR list_has_any(string_split(lower(trim(tag)), ' '), string_split(lower(trim(name)), ' '))) THEN 'disagree'
+ WHEN length(trim(tag)) < length(trim(name)) AND starts_with(lower(trim(name)), lower(trim(tag))) THEN 'truncated_prefix' ELSE 'agree' END AS outcome FROM x""")
 def tag_agreement(t):
     k, j, four = F.col("p_partkey") % 5, F.col("p_partkey") % 7, F.repeat(F.concat("p_name", F.lit(" ")), 4)
     tag = F.when(k == 1, F.col("p_name")).when(k == 2, F.upper("p_name")).when(k == 3, F.substring(four, 1, 30)).when(k == 4, "other")

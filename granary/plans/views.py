@@ -94,7 +94,7 @@ def choose_primary_alternates(t):
     g = t("lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("w"))
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("w"), F.col("l_suppkey").alias("s"))))
     o = g.groupBy("l_partkey").agg(ordered.alias("o"))
-    return o.select("l_partkey", F.get("o", F.lit(0))["s"].alias("chosen"), F.array_join(F.transform(F.slice("o", 2, 100000), lambda x: x["s"].cast("string")), ",").alias("alternates"))
+    return o.select("l_partkey", F.get("o", F.lit(0))["s"].alias("chosen"), F.array_join(F.transform(F.slice("o", F.lit(2), F.size("o")), lambda x: x["s"].cast("string")), ",").alias("alternates"))
 
 
 RANKED = f"""{ITEMS}, med AS (SELECT p_brand, median(duration) AS m, COUNT(duration) AS n FROM items GROUP BY p_brand),

@@ -208,7 +208,9 @@ def test_titles(spark):
 
     from granary.functions import titles
 
-    assert titles.clean_tag("Jackson, Michael") == "Michael Jackson" and titles.clean_tag("Unknown Artist") is None and titles.clean_tag("Earth, Wind & Fire") == "Earth, Wind & Fire"
+    assert titles.clean_tag("Jackson, Michael", True) == "Michael Jackson" and titles.clean_tag("Unknown Artist") is None and titles.clean_tag("Earth, Wind & Fire", True) == "Earth, Wind & Fire"
+    assert titles.clean_tag("Jepsen, Carly Rae", True) == "Carly Rae Jepsen" and titles.clean_tag("Goodbye, Ruby Tuesday") == "Goodbye, Ruby Tuesday"
+    assert titles.clean_tag("Track 07") is titles.clean_tag("12") is titles.clean_tag(" \0") is None and titles.clean_tag("Song [Karaoke]") == "Song"
     assert titles.title_agreement("Stay (I Missed You)", "Stay") == 1.0 and titles.artist_agreement("Prince", "Prince and The Revolution") == 0.95
     df = spark.createDataFrame([("שלום", "shalom"), ("שלום shalom", "shalom"), ("Hello", "Hello")], "a string, b string")
     assert [r[0] for r in df.select(titles.transliteration_guard(F.col("a"), F.col("b"), F.lit(False))).collect()] == [False, True, True]

@@ -52,8 +52,11 @@ def test_worklists(spark):
     from pyspark.sql import functions as F
 
     assert ids(worklists.catalogue(it, wide, meta, "wikidata", F.lit(True), title_only=True)) == [1, 3]
-    df = spark.createDataFrame([("title_only",), ("opaque",), (None,)], "l string").select(worklists.in_workset(F.col("l")).alias("w"), worklists.in_sweep(F.col("l")).alias("s"))
-    assert [tuple(r) for r in df.collect()] == [(True, True), (False, False), (False, True)]
+    layouts = [("title_only", "latn"), ("opaque", "he"), (None, None), ("artist_title", "he"), ("artist_title", "latn"), ("non_media", "he"), ("not seen yet", "he")]
+    l, lang = F.col("l"), F.col("lang")
+    df = spark.createDataFrame(layouts, "l string, lang string").select(worklists.in_workset(l, lang), worklists.is_control(l, lang), worklists.in_sweep(l))
+    t, f = True, False
+    assert [tuple(r) for r in df.collect()] == [(t, f, t), (f, f, t), (f, f, t), (t, f, t), (f, t, t), (f, f, f), (f, f, t)]
 
 
 def test_rules(spark):
@@ -100,5 +103,6 @@ def test_entities(spark):
     rows = {r["id"]: tuple(r)[1:] for r in got.select("id", en.is_artist(e).alias("a"), en.is_work(e).alias("w"), en.entity_year(e).alias("y"), en.label(e).alias("l")).collect()}
     assert rows == {"Q1": (True, False, "1965", "x"), "Q2": (False, True, None, None)}
     assert [tuple(r) for r in misses.collect()] == [(2, "s/b")]
+    assert en.strip_credit("שר משה פרץ ישראלי מזרחי") == "משה פרץ" and en.strip_credit("משה שר פרץ") == "משה שר פרץ"
     assert en.strip_credit("משה פרץ שרים") == "משה פרץ" and en.strip_credit("שר") == "שר"
     assert en.segment("ילדה קטנה משה פרץ שרים", ["משה פרץ"]) == ("משה פרץ", "ילדה קטנה") and en.segment("משה פרץ", ["משה פרץ"]) is None
