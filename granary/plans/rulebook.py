@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from granary.functions import media
+from granary.functions import media, stems
 from granary.functions import text as fx
 from granary.operators import cluster, rules, worklists
 from granary.plans.registry import query
@@ -119,3 +119,18 @@ def name_edges(t):
     """Equal names, and names that have more words in the artist; not those with a longer title."""
     items = t("supplier").select(F.col("s_suppkey").alias("id"), F.expr(_ARTIST).alias("artist"), F.expr(_TITLE).alias("title"), F.lit(None).cast("string").alias("instrumental"))
     return cluster.name_edges(items)
+
+
+_FOLDERS, _SERIES = ("New", "Unorginized", "English karaoke", "Elsewhere"), ("SF", "DK", "MRH", "BS", "SC")
+
+
+@query(f"""WITH x AS (SELECT p_partkey, {_list(_FOLDERS)}[p_partkey % 4 + 1] AS f, {_list(_SERIES)}[p_partkey % 5 + 1] AS s, p_name AS a, p_brand AS b FROM part),
+ o AS (SELECT *, CASE WHEN (f, s) IN (('Unorginized', 'DK'), ('English karaoke', 'DK'), ('English karaoke', 'MRH')) THEN 'title_artist' ELSE 'artist_title' END AS o,
+  (f, s) IN (('New', 'SF'), ('New', 'MRH'), ('Unorginized', 'DK'), ('English karaoke', 'DK'), ('English karaoke', 'BS'), ('Unorginized', 'BS'), ('English karaoke', 'MRH')) AS known FROM x)
+ SELECT p_partkey, CASE WHEN o = 'artist_title' THEN a ELSE b END AS artist, CASE WHEN o = 'artist_title' THEN b ELSE a END AS title, s || '123' AS disc_id, '0' || (p_partkey % 9 + 1) AS disc_track, 'disc_' || o AS layout, CASE WHEN known THEN 0.85::DOUBLE ELSE 0.5::DOUBLE END AS confidence, CASE WHEN f NOT IN ('New', 'Unorginized') THEN f ELSE '' END AS folder_hints FROM o""")
+def parse_location(t):
+    """Paths of discs: the batch, a top folder and a series, settles which field is the artist."""
+    k = F.col("p_partkey")
+    path = F.concat(_one_of(_FOLDERS, k), F.lit("/A/"), _one_of(_SERIES, k), F.lit("123-0"), (k % 9 + 1).cast("string"), F.lit(" - "), "p_name", F.lit(" - "), "p_brand", F.lit(" (Karaoke).mp3"))
+    fields = ("artist", "title", "disc_id", "disc_track", "layout", "confidence", "folder_hints")
+    return t("part").select("p_partkey", stems.located(path).alias("p")).select("p_partkey", *(f"p.{c}" for c in fields))

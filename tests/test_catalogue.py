@@ -239,6 +239,22 @@ def test_entry_without_the_training_data_package(tmp_path):
     assert int(n) >= int(sql) > 60 and llm == "False"
 
 
+def test_locations():
+    from granary.functions.stems import artist_folder, clean, folder_hints, parse_location, parse_stem, parser_stamp
+
+    assert parse_stem("DK30-15 - Venus - Frankie Avalon", "Unorginized")["artist"] == "Frankie Avalon"
+    assert parse_stem("DK30-15 - Venus - Avalon, Frankie", "New")["confidence"] == 0.95
+    assert parse_stem("Another Song - Murs, Olly")["artist"] == "Another Song"
+    assert parse_stem("one - two - three", "קריוקי בעברית 1")["title"] == "one - two - three".replace(" - ", " ").rsplit(" ", 1)[0]
+    p = parse_location("קריוקי בעברית 1/karaoke/אייל גולן/יפה שלי 5.avi")
+    assert (p["artist"], p["layout"], p["confidence"]) == ("אייל גולן", "title_artist_from_folder", 0.7)
+    assert artist_folder("קריוקי בעברית 1/karaoke/x.avi") is None and parse_location("a/Thumbs.db", non_media=True)["layout"] == "non_media"
+    assert folder_hints("English karaoke/M/Mariah Carey/CD2/x.mp3") == ["English karaoke", "Mariah Carey"]
+    assert clean("some_name-VZwiiKF3F7Y") == "some name" and clean("x - tobewithyou") == "x - tobewithyou"
+    assert parse_stem("A - B [Live] (HD Karaoke)")["flags"] == "hd,karaoke,live" and len(parser_stamp()) == 12
+    assert parse_location(None)["layout"] == parse_location("")["layout"] == "unparsed"
+
+
 def test_first_lines_are_compared_and_parsed_whole(spark):
     """What differs behind character 80, or stands behind character 120, counts."""
     from granary.plans.clustering import parse_stem_full, sequence_agreement
