@@ -20,7 +20,7 @@ probability 0.2^LEAST, 3e-6; the others have no near copy), WIDE bits are sample
 each; a sample is covered by G x G with threshold 0 and goes to every anchor
 within the covering radius, which for a perfect code is one. A pair at 0.8
 shares an anchor of a covering with probability 0.03 to 0.04, of any of them
-with 0.97 or more (measured, see README); nearer pairs oftener. Pairs of an
+with about 0.97 (measured, see README); nearer pairs oftener. Pairs of an
 anchor are compared by their wide fingerprints and verified on the whole sets
 of shingles, so no pair below the bound is linked.
 """
