@@ -9,9 +9,17 @@ from pyspark.sql import functions as F
 
 
 def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Add `copies` and `survivor` (the first of each group; null keys group together)."""
-    group = Window.partitionBy(*keys)
-    return df.withColumns({"copies": F.count("*").over(group), "survivor": F.row_number().over(group.orderBy(*order)) == 1})
+    """Add `copies` and `survivor` (the first of each group; null keys group together).
+
+    A group is folded to its count and its least order, not gathered, so one
+    content may hold any share of the rows. The order tells the rows of a
+    group apart; rows equal in it survive together.
+    """
+    place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
+    groups = df.groupBy(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys))).agg(F.count("*").alias("copies"), F.min(place).alias("__first"))
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    out = df.drop("copies", "survivor").join(groups, same).withColumn("survivor", place.eqNullSafe(F.col("__first")))
+    return out.drop("__first", *(f"__k{i}" for i in range(len(keys))))
 
 
 def late_duplicates(df: DataFrame, content: str, order: str) -> DataFrame:

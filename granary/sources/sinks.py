@@ -21,9 +21,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def snapshot(df: DataFrame, root: str, stamp: str, keep: int = 20) -> list[str]:
-    """Write df under root/stamp and delete all but the newest `keep` snapshots; returns those left."""
+    """Write df under root/stamp and delete all but the newest `keep` snapshots; returns those left.
+
+    The new one is read back before anything is deleted: one that is empty,
+    or whose write was not finished, pushes no older one out and is an error.
+    """
     df.write.mode("errorifexists").parquet(f"{root}/{stamp}")
     fs, p = _fs(df.sparkSession, root)
+    _, done = _fs(df.sparkSession, f"{root}/{stamp}/_SUCCESS")
+    if not fs.exists(done) or df.sparkSession.read.schema(df.schema).parquet(f"{root}/{stamp}").isEmpty():
+        raise ValueError(f"snapshot {stamp} is empty or unfinished; the older ones stay")
     names = sorted((s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()), reverse=True)
     for old in names[keep:]:
         fs.delete(df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)

@@ -151,6 +151,9 @@ def test_sources_and_sinks(spark, tmp_path):
     df = spark.range(450).withColumnRenamed("id", "n")
     for i in range(3):
         left = sinks.snapshot(df, f"file://{tmp_path}/snap", f"2024-0{i + 1}", keep=2)
+    with pytest.raises(ValueError, match="older ones stay"):
+        sinks.snapshot(df.limit(0), f"file://{tmp_path}/snap", "2025-01", keep=1)
+    assert {x.name for x in (tmp_path / "snap").iterdir()} >= set(left)
     assert left == ["2024-03", "2024-02"]
     with pytest.raises(ValueError), sinks.ledger(spark, f"file://{tmp_path}/runs", "hash") as run:
         run["items_processed"] = 4
