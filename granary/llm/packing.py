@@ -57,6 +57,35 @@ class Encoder:
         return b"".join(out)
 
 
+def same_vocabulary(json_path: str, ranks_path: str) -> None:
+    """Raises unless the tokenizer file and the ranks give every text the same ids.
+
+    They do if tokens and ids agree, merges stand in the order of the ids they
+    make, and nothing but the byte-level pattern comes before the merges.
+    """
+    import base64
+    import json
+
+    with open(json_path, encoding="utf-8") as f:
+        told = json.load(f)
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+    vocab, before = told["model"]["vocab"], told["pre_tokenizer"]
+    plain = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token != END_OF_TEXT}
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in told["model"]["merges"]]
+    ends = {t["content"]: t["id"] for t in told["added_tokens"]}
+    if (
+        plain != ranks
+        or merged != list(range(256, len(ranks)))
+        or ends != {END_OF_TEXT: len(ranks)}
+        or told["normalizer"] is not None
+        or (before["type"], before["add_prefix_space"], before["use_regex"]) != ("ByteLevel", False, True)
+    ):
+        raise ValueError(f"{ranks_path} is not the vocabulary of {json_path}")
+
+
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
@@ -146,7 +175,9 @@ def minimum_bin_slack(counts: dict[int, int], capacity: int) -> tuple[Runs, int]
     return runs, bins
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0, with_ids: bool = False, json_path: str | None = None
+) -> DataFrame:
     """(id_col, piece, start, length, ids_crc32, sequence_id, offset[, ids]) per piece.
 
     Null text is empty (its one id is end_id). Documents longer than capacity
@@ -154,7 +185,10 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     the histogram of lengths alone (at most `capacity` rows); the pieces are
     numbered within their length by many tasks and looked up in the runs.
     Repeated rows are packed each; an empty table gives an empty result.
+    With json_path the ranks are first held against that tokenizer file.
     """
+    if json_path:
+        same_vocabulary(json_path, ranks_path)
     cut = stage(pieces(docs, id_col, text_col, ranks_path, pattern, capacity, end_id, with_ids), "pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     runs, _ = minimum_bin_slack(counts, capacity)

@@ -28,7 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _vocabulary() -> dict[str, str]:
     import public_tokenizers as p
 
-    return {"ranks_path": p.path("byte_bpe_50k.tiktoken"), "pattern": p.PATTERN}
+    return {"json_path": p.path("byte_bpe_50k.json"), "ranks_path": p.path("byte_bpe_50k.tiktoken"), "pattern": p.PATTERN}
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

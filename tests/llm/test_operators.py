@@ -558,6 +558,15 @@ def test_packing(spark, docs, empty):
     assert pack(empty, **_vocabulary()).count() == 0
 
 
+def test_ranks_of_another_vocabulary_are_refused(spark, empty):
+    from granary.llm.packing import pack
+    from granary.llm.queries import _vocabulary
+
+    other = _vocabulary() | {"ranks_path": _vocabulary()["ranks_path"].replace("byte_bpe_50k", "byte_bpe_multi_50k")}
+    with pytest.raises(ValueError, match="not the vocabulary"):
+        pack(empty, **other)
+
+
 def test_fullest_is_subset_sum():
     from granary.llm.packing import fullest
 
