@@ -18,6 +18,9 @@ BOILERPLATE = (
 NAV_MARKS = "[|>\\u00BB\\u203A\\u2022\\u00B7]"
 END = "[.!?:;\\u2026\\u3002\\uFF01\\uFF1F][\"')\\]\\u00BB\\u201D\\u2019*]*[ \\x09-\\x0D]*$"
 HAS_WORD = "[^ \\x09-\\x0D]"
+LINE_SYMBOLS = "#*$%&|<>{}~^=_\\\\"
+#: A line is heavy with symbols only if they stand at three places: a heading, one "R&B" or a bold word does not fail.
+SPREAD = f"(?:[{LINE_SYMBOLS}]+[^{LINE_SYMBOLS}]+){{2}}[{LINE_SYMBOLS}]"
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -27,7 +30,7 @@ MAX_LOST_PERCENT = 50
 def line_fails(line: Column) -> Column:
     """Punctuation, navigation and boilerplate rules for one line with a word."""
     size = F.length(line)
-    symbol_heavy = (size - F.length(F.regexp_replace(line, "[#*$%&|<>{}~^=_\\\\]+", ""))) * 12 > size
+    symbol_heavy = ((size - F.length(F.regexp_replace(line, f"[{LINE_SYMBOLS}]+", ""))) * 12 > size) & line.rlike(SPREAD)
     navigation = line.rlike(f"(?: {NAV_MARKS} [^ ]+){{3}}")
     boilerplate = (size < 200) & line.rlike("(?i)\\b(" + "|".join(BOILERPLATE) + ")\\b")
     # A heading or list item may end bare; a long line of prose does not.

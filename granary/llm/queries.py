@@ -216,7 +216,7 @@ SELECT d.doc_id, len(d.w) AS n_words, COALESCE(n_base, 0) AS n_base, first_word,
 
 
 def _op5_sql() -> str:
-    from granary.llm.quality import BOILERPLATE, END, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MIN_WORDS as LEAST, NAV_MARKS, SYMBOLS
+    from granary.llm.quality import BOILERPLATE, END, LINE_SYMBOLS, MAX_LOST_PERCENT, MAX_REPEAT_PERCENT, MIN_WORDS as LEAST, NAV_MARKS, SPREAD, SYMBOLS
 
     def re2(p: str) -> str:
         import re
@@ -224,7 +224,7 @@ def _op5_sql() -> str:
         return re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", p)
 
     fails = (
-        f"(12 * (length(l) - length(regexp_replace(l, '[#*$%&|<>{{}}~^=_\\\\]+', '', 'g'))) > length(l) OR regexp_matches(l, '{re2(f'(?: {NAV_MARKS} [^ ]+){{3}}')}')"
+        f"((12 * (length(l) - length(regexp_replace(l, '[{LINE_SYMBOLS}]+', '', 'g'))) > length(l) AND regexp_matches(l, '{SPREAD}')) OR regexp_matches(l, '{re2(f'(?: {NAV_MARKS} [^ ]+){{3}}')}')"
         f" OR (length(l) < 200 AND regexp_matches(l, '(?i)\\b({'|'.join(BOILERPLATE)})\\b')) OR (length(l) > 400 AND NOT regexp_matches(right(l, 12), '{re2(END).replace(chr(39), chr(39) * 2)}')))"
     )
     return f"""

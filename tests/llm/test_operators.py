@@ -359,6 +359,18 @@ def test_quality(spark, docs, empty):
     assert quality(empty).count() == 0
 
 
+def test_quality_symbols_at_one_place_are_no_fault(spark):
+    """Headings, a bold word or one sign stay; symbols strewn over a line do not."""
+    from pyspark.sql import functions as F
+
+    from granary.llm.quality import line_fails
+
+    good = ["# Intro", "###### A", "I love R&B", "**Note**", "if (a && b) {", "x = y", "a_b"]
+    bad = ["buy $$$ now *** win &&& go", "{a: b} | c", "Home | News | Sport | Arts"]
+    got = spark.createDataFrame([(x,) for x in good + bad], "l string").select("l", line_fails(F.col("l")).alias("f")).collect()
+    assert {r["l"] for r in got if r["f"]} == set(bad)
+
+
 def test_mixing(spark, docs, empty):
     from pyspark.sql import functions as F
 
