@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,43 +19,51 @@ END_OF_TEXT = "<|endoftext|>"
 MEMO = 300_000
 
 
+class Words(dict):
+    """Ids of " " + word as little-endian uint32 bytes, made when first asked for.
+
+    None for a word that is empty or has white space at an end, as a token may
+    then reach over that end.
+    """
+
+    def __init__(self, encode: Callable[[str], list[int]]) -> None:
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes | None:
+        whole = word and not word[0].isspace() and not word[-1].isspace()
+        self[word] = ids = array("I", self.encode(" " + word)).tobytes() if whole else None
+        return ids
+
+
 class Encoder:
     """Ids as little-endian uint32 bytes, equal to those of the byte-level BPE.
 
-    Where white space is single the pattern always starts a new token at a
-    space, so words can be encoded one by one and remembered. Other texts are
-    encoded whole. The memo is emptied when full.
+    A space between two characters that are not white space always starts a
+    new token, so what stands between such spaces is encoded once and
+    remembered. Other texts are encoded whole. The memo is emptied when full.
     """
 
     def __init__(self, ranks_path: str, pattern: str) -> None:
         import base64
-        import re
 
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)})
-        self.runs = re.compile(r"\s\s|^\s|\s$")
-        self.memo: dict[str, bytes] = {}
+        self.words = Words(self.bpe.encode_ordinary)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.bpe.encode(text, allowed_special="all"), dtype="<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not text or self.runs.search(text) or END_OF_TEXT in text:
-            return self.whole(text)
-        memo, encode, out = self.memo, self.bpe.encode_ordinary, []
-        if len(memo) > MEMO:
-            memo.clear()
         first, *rest = text.split(" ")
-        out.append(self.whole(first))
-        for w in rest:
-            ids = memo.get(w)
-            if ids is None:
-                ids = memo[w] = np.array(encode(" " + w), dtype="<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+        if not first or first[0].isspace() or first[-1].isspace() or END_OF_TEXT in text:
+            return self.whole(text)
+        if len(self.words) > MEMO:
+            self.words.clear()
+        ids = [*map(self.words.__getitem__, rest)]
+        return self.whole(text) if None in ids else self.whole(first) + b"".join(ids)
 
 
 def same_vocabulary(json_path: str, ranks_path: str) -> None:

@@ -536,6 +536,19 @@ def test_embeddings(spark):
     assert embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_words_are_encoded_as_in_their_text():
+    import random
+
+    import public_tokenizers as p
+
+    from granary.llm.packing import Encoder
+
+    encode, draw = Encoder(p.path("byte_bpe_50k.tiktoken"), p.PATTERN), random.Random(3)
+    for _ in range(5000):
+        text = "".join(draw.choice(" \n\t\x1c\x85\u3000\u00a0ab1\u00e9'.!s\u8a9e") for _ in range(draw.randrange(12)))
+        assert encode(text) == encode.whole(text), repr(text)
+
+
 def test_packing(spark, docs, empty):
     import public_tokenizers as p
     from tokenizers import Tokenizer
