@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from granary.operators.numbering import ranked_within
+
 
 def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Add `copies` and `survivor` (the first of each group; null keys group together).
@@ -24,31 +27,47 @@ def survivors(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
 
 def late_duplicates(df: DataFrame, content: str, order: str) -> DataFrame:
     """Rows ranked behind the first of their content; ties in order rank alike."""
-    rank = F.rank().over(Window.partitionBy(content).orderBy(order))
-    return df.where(F.col(content).isNotNull()).withColumn("dup_rank", rank.cast("long")).where("dup_rank > 1")
+    ranked = ranked_within(df.where(F.col(content).isNotNull()), content, [order], "__before")
+    return ranked.where("__before > 0").withColumn("dup_rank", F.col("__before") + 1).drop("__before")
 
 
-def nearest_rank(df: DataFrame, value: str, shares: dict[str, float], cells: int = 1024) -> DataFrame:
+def nearest_rank(df: DataFrame, value: str, shares: dict[str, float], cells: int = 1024, most: int = 100_000) -> DataFrame:
     """(stat, value): element least(floor(n p), n - 1) of the sorted non-null values.
 
-    A histogram finds the cell each element lies in; only those cells' rows
-    are sorted, so nothing orders the whole column in one task.
+    A histogram finds the cell each element lies in. A cell of more than
+    `most` rows that are not all equal is divided again, so nothing orders
+    more rows than that in one task, however the values are spread.
     """
     v = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
-    lo, hi, n = v.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    low, high, n = v.agg(F.min("v"), F.max("v"), F.count("*")).first()
     if not n:
         return df.sparkSession.createDataFrame([], "stat string, value double")
-    cell = F.least(F.floor((F.col("v") - lo) / ((hi - lo) or 1.0) * cells), F.lit(cells - 1)).alias("cell")
-    counts = {r["cell"]: r["count"] for r in v.groupBy(cell).count().collect()}  # at most `cells` rows
-    wanted, before = [], 0
-    ranks = {stat: min(int(n * p), n - 1) for stat, p in shares.items()}
-    for c in sorted(counts):
-        wanted += [(stat, c, k - before + 1) for stat, k in ranks.items() if before <= k < before + counts[c]]
-        before += counts[c]
-    ask = F.broadcast(df.sparkSession.createDataFrame(wanted, "stat string, cell long, nth long"))
-    inside = v.select("v", cell).join(F.broadcast(ask.select("cell").distinct()), "cell")
-    numbered = inside.withColumn("nth", F.row_number().over(Window.partitionBy("cell").orderBy("v")).cast("long"))
-    return numbered.join(ask, ["cell", "nth"]).select("stat", F.col("v").alias("value"))
+    spans = {stat: (low, high, n, min(int(n * p), n - 1)) for stat, p in shares.items()}  # bounds, rows, place among them
+    while wide := {(lo, hi) for lo, hi, rows, _ in spans.values() if rows > most and lo < hi}:
+        found = defaultdict(list)
+        for i, cell, lo, hi, rows in _histogram(v, sorted(wide), cells):
+            found[i].append((cell, lo, hi, rows))
+        for i, span in enumerate(sorted(wide)):
+            for stat, (*bounds, _, place) in spans.items():
+                if tuple(bounds) == span:
+                    before = 0
+                    for _, lo, hi, rows in sorted(found[i]):
+                        if before <= place < before + rows:
+                            spans[stat] = (lo, hi, rows, place - before)
+                        before += rows
+    ask = F.broadcast(df.sparkSession.createDataFrame([(s, lo, hi, place + 1) for s, (lo, hi, _, place) in spans.items()], "stat string, lo double, hi double, nth long"))
+    inside = v.join(F.broadcast(ask.where("lo < hi").select("lo", "hi").distinct()), F.col("v").between(F.col("lo"), F.col("hi")))
+    numbered = inside.withColumn("nth", F.row_number().over(Window.partitionBy("lo", "hi").orderBy("v")).cast("long"))
+    same = ask.where("lo = hi").select("stat", F.col("lo").alias("value"))
+    return numbered.join(ask, ["lo", "hi", "nth"]).select("stat", F.col("v").alias("value")).unionByName(same)
+
+
+def _histogram(v: DataFrame, spans: list[tuple[float, float]], cells: int) -> list[Row]:
+    """(span, cell, least, greatest, rows) of equal cells of each span: at most `cells` rows a span."""
+    cell = [F.least(F.floor((F.col("v") - lo) / (hi - lo) * cells), F.lit(cells - 1)) for lo, hi in spans]
+    hits = F.array(*(F.when(F.col("v").between(lo, hi), F.struct(F.lit(i).alias("i"), c.alias("c"))) for i, ((lo, hi), c) in enumerate(zip(spans, cell, strict=True))))
+    inside = v.select("v", F.explode(F.array_compact(hits)).alias("h"))
+    return inside.groupBy("h.i", "h.c").agg(F.min("v"), F.max("v"), F.count("*")).collect()
 
 
 def keyed_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from granary.functions import stems
 from granary.functions import text as fx
 from granary.operators import decisions, joins, merge
 from granary.operators.graph import connected_components
+from granary.operators.numbering import ranked_within
 from granary.plans.registry import query
 
 BAND = "SELECT a.doc_id AS x, b.doc_id AS y, b.n_chars - a.n_chars AS gap FROM documents a JOIN documents b ON b.n_chars - a.n_chars BETWEEN 0 AND 10 AND (a.n_chars < b.n_chars OR a.doc_id < b.doc_id)"
@@ -66,14 +67,24 @@ SIGNS = "signs AS (SELECT vec_id, label, list_sum(list_transform(list_zip(embedd
 SIM = f"{SIGNS}, sims AS (SELECT a.vec_id AS a, b.vec_id AS b, 1 - (bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi))) / 64.0::DOUBLE AS sim FROM signs a JOIN signs b ON a.label = b.label AND a.vec_id < b.vec_id)"
 
 
+BLOCK = 4096
+
+
 def sign_sims(t, floor: float):
-    """Pairs of a block by the share of equal sign bits; sign words keep the join rows small."""
+    """Pairs of a label by the share of equal sign bits; sign words keep the join rows small.
+
+    A label's rows are dealt into blocks of about BLOCK rows, and each pair of
+    blocks meets by itself, so no task compares all rows of a large label.
+    """
     e = t("embeddings")
     word = lambda first: F.aggregate(F.transform(F.slice("embedding", first, 32), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a + x)
     s = e.select("vec_id", "label", word(1).alias("lo"), word(33).alias("hi"))
-    a, b = s.toDF("a", "label", "alo", "ahi"), s.toDF("b", "label", "blo", "bhi")
+    blocks = -(-(s.groupBy("label").count().agg(F.max("count")).first()[0] or 1) // BLOCK)
+    mine, every = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("mine"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
+    a = s.select("*", mine, every).toDF("a", "label", "alo", "ahi", "i", "j")
+    b = s.select("*", mine, every).toDF("b", "label", "blo", "bhi", "j", "i")
     sim = 1 - (F.bit_count(F.col("alo").bitwiseXOR(F.col("blo"))) + F.bit_count(F.col("ahi").bitwiseXOR(F.col("bhi")))) / 64
-    return a.join(b, "label").where("a < b").select("a", "b", sim.alias("sim")).where(F.col("sim") >= floor)
+    return a.join(b, ["label", "i", "j"]).where("a < b").select("a", "b", sim.alias("sim")).where(F.col("sim") >= floor)
 
 
 @query(f"WITH {SIM} SELECT a, b, sim FROM sims WHERE sim >= 0.6")
@@ -122,17 +133,32 @@ def heads(t):
     return d, t("benchmark").select("item_id", fx.tokens(line).alias("tb"))
 
 
-def head_pairs(t):
-    """Pairs that share a token; others have overlap 0 and need no row."""
+def _rarest(tokens, id_col: str, counts, least: float):
+    """The tokens of a set, rarest first, of which one at least is in every set that shares `least` of it."""
+    o = tokens.join(counts, "k", "left").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "k"))).alias("o"))
+    first = F.size("o") - F.ceil(least * F.size("o") - 1e-9) + 1
+    return o.select(id_col, F.explode(F.slice("o", F.lit(1), first.cast("int"))).alias("x")).select(id_col, "x.k")
+
+
+def head_pairs(t, of_doc: float = 0.0, of_item: float = 0.0):
+    """Pairs that share a token, and all that share of_doc of the document's and of_item of the item's tokens.
+
+    With a share the rarest tokens of a set are looked up and its frequent
+    ones are not, which loses no such pair.
+    """
     d, b = heads(t)
-    keys = d.select("doc_id", F.explode("td").alias("k")).join(b.select("item_id", F.explode("tb").alias("k")), "k").select("doc_id", "item_id").distinct()
+    ours, theirs = d.select("doc_id", F.explode("td").alias("k")), b.select("item_id", F.explode("tb").alias("k"))
+    if of_doc or of_item:
+        counts = ours.groupBy("k").agg(F.count("*").alias("df"))
+        ours, theirs = _rarest(ours, "doc_id", counts, of_doc), _rarest(theirs, "item_id", counts, of_item)
+    keys = ours.join(theirs, "k").select("doc_id", "item_id").distinct()
     return keys.join(d, "doc_id").join(b, "item_id")
 
 
 @query(f"""WITH {FIRST} SELECT doc_id, item_id, round(len(list_intersect(head.tk, bench.tk)) / len(list_distinct(list_concat(head.tk, bench.tk)))::DOUBLE, 6) AS overlap FROM head JOIN bench ON list_has_any(head.tk, bench.tk) WHERE len(list_intersect(head.tk, bench.tk)) / len(list_distinct(list_concat(head.tk, bench.tk)))::DOUBLE >= 0.2""")
 def field_agreement(t):
     s = decisions.jaccard(F.col("td"), F.col("tb"))
-    return head_pairs(t).select("doc_id", "item_id", s.alias("s")).where("s >= 0.2").select("doc_id", "item_id", F.round("s", 6).alias("overlap"))
+    return head_pairs(t, 0.2, 0.2).select("doc_id", "item_id", s.alias("s")).where("s >= 0.2").select("doc_id", "item_id", F.round("s", 6).alias("overlap"))
 
 
 @query()
@@ -141,7 +167,7 @@ def sequence_agreement(t):
     line = F.element_at(F.split("text", "\n"), 1)
     ours = t("benchmark").select("item_id", line.alias("a"))
     d = t("documents").select("doc_id", line.alias("b"))
-    keys = head_pairs(t).where(decisions.jaccard(F.col("td"), F.col("tb")) >= 0.1).select("doc_id", "item_id")
+    keys = head_pairs(t, 0.1, 0.1).where(decisions.jaccard(F.col("td"), F.col("tb")) >= 0.1).select("doc_id", "item_id")
     return keys.join(ours, "item_id").join(d, "doc_id").select("doc_id", "item_id", F.round(fx.udf_of(fx.agreement, "double")("a", "b"), 6).alias("agreement"))
 
 
@@ -158,7 +184,7 @@ def match_bands(t):
 
 @query(f"""WITH {FIRST} SELECT item_id, doc_id, round(len(list_intersect(head.tk, bench.tk)) / len(head.tk)::DOUBLE, 6) AS cover FROM head JOIN bench ON list_has_any(head.tk, bench.tk) WHERE len(list_intersect(head.tk, bench.tk)) / len(head.tk)::DOUBLE >= 0.8""")
 def order_free_coverage(t):
-    return head_pairs(t).select("item_id", "doc_id", decisions.order_free(F.col("td"), F.col("tb")).alias("c")).where("c IS NOT NULL").select("item_id", "doc_id", F.round("c", 6).alias("cover"))
+    return head_pairs(t, 0.8).select("item_id", "doc_id", decisions.order_free(F.col("td"), F.col("tb")).alias("c")).where("c IS NOT NULL").select("item_id", "doc_id", F.round("c", 6).alias("cover"))
 
 
 @query("""WITH p AS (SELECT p_partkey, list_sort(list_distinct(string_split(lower(p_name), ' '))) AS t, [lower(p_type)] AS a FROM part), q AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 1 THEN a ELSE t END AS t, CASE WHEN p_partkey % 3 = 1 THEN t WHEN p_partkey % 3 = 2 THEN list_sort(list_append(a, 'x')) ELSE a END AS a FROM p)
@@ -179,14 +205,11 @@ def decoration_tokens(t):
 @query("""WITH r AS (SELECT doc_id, source, ROW_NUMBER() OVER (PARTITION BY source ORDER BY md5('7' || CAST(doc_id AS VARCHAR)), doc_id) AS rn, COUNT(*) OVER (PARTITION BY source) AS n, COUNT(*) OVER () AS total FROM documents)
  SELECT doc_id, source FROM r WHERE rn <= GREATEST(1, CAST(FLOOR(n * 200.0 / total) AS BIGINT))""")
 def stratified_sample(t):
-    from pyspark.sql import Window
-
     d = t("documents").select("doc_id", "source")
     total = d.count()
     n = d.groupBy("source").agg(F.greatest(F.lit(1), F.floor(F.count("*") * 200.0 / total)).alias("quota"))
-    key = F.md5(F.concat(F.lit("7"), F.col("doc_id").cast("string")).cast("binary"))
-    r = d.join(F.broadcast(n), "source").withColumn("rn", F.row_number().over(Window.partitionBy("source").orderBy(key, "doc_id")))
-    return r.where("rn <= quota").select("doc_id", "source")
+    drawn = d.withColumn("key", F.md5(F.concat(F.lit("7"), F.col("doc_id").cast("string")).cast("binary")))
+    return ranked_within(drawn, "source", ["key", "doc_id"], "nth").join(n, "source").where("nth < quota").select("doc_id", "source")
 
 
 @query("""SELECT CASE WHEN k IS NULL THEN 'missing' WHEN k < 0 OR k > 100 THEN 'range' WHEN k < 10 THEN 'short' ELSE 'good' END AS reason, COUNT(*) AS n FROM (SELECT TRY_CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k FROM events) GROUP BY 1""")

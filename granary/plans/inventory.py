@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import text as fx
 from granary.operators import dedup, joins
+from granary.operators.numbering import ranked_within
 from granary.plans.registry import query
 
 STR = "string"
@@ -146,9 +147,7 @@ def worklist_unlabelled(t):
 
 @query("""WITH n AS (SELECT doc_id, ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) SELECT doc_id FROM n WHERE (rn - 1) % 10 = 0""")
 def worklist_stride(t):
-    from pyspark.sql import Window
-
-    return t("documents").select("doc_id", "source").withColumn("rn", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).where("(rn - 1) % 10 = 0").select("doc_id")
+    return ranked_within(t("documents").select("doc_id", "source"), "source", ["doc_id"], "nth").where("nth % 10 = 0").select("doc_id")
 
 
 @query("""SELECT user_id, event_id FROM events e WHERE event_type IN ('signup', 'view') AND NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.event_type = 'error' AND x.value > 20)

@@ -268,3 +268,52 @@ def test_first_lines_are_compared_and_parsed_whole(spark):
     got = {r["doc_id"]: r["agreement"] for r in sequence_agreement(t.__getitem__).collect()}
     assert got[1] == 1.0 and 0 < got[2] < 1 and 0 < got[3] < 1
     assert {r["doc_id"]: r["title"] for r in parse_stem_full(t.__getitem__).collect()}[3] == "Artist"
+
+
+def test_ranked_within_a_hot_key(spark):
+    from granary.operators.numbering import ranked_within
+
+    rows = [("hot", i // 2) for i in range(3000)] + [("b", 5), ("b", 5), ("b", 1), (None, 2), (None, 1), ("b", None)]
+    got = ranked_within(spark.createDataFrame(rows, "k string, v long"), "k", ["v"], "n").collect()
+    least = lambda v: -1 if v is None else v
+    want = [(k, v, sum(1 for a, b in rows if a == k and least(b) < least(v))) for k, v in rows if k != "hot"] + [("hot", v, 2 * v) for k, v in rows if k == "hot"]
+    assert sorted(map(repr, ((r["k"], r["v"], r["n"]) for r in got))) == sorted(map(repr, want))
+    assert ranked_within(spark.createDataFrame([], "k string, v long"), "k", ["v"], "n").count() == 0
+
+
+def test_nearest_rank_with_one_huge_value_and_many_equal_ones(spark):
+    from granary.operators.dedup import nearest_rank
+
+    values = [float(i) for i in range(500)] + [7.0] * 300 + [1e15, None]
+    shares = {"min": 0.0, "p50": 0.5, "p90": 0.9, "p99": 0.99, "max": 1.0}
+    got = nearest_rank(spark.createDataFrame([(x,) for x in values], "v double"), "v", shares, cells=8, most=20).collect()
+    kept = sorted(x for x in values if x is not None)
+    assert {r["stat"]: r["value"] for r in got} == {s: kept[min(int(len(kept) * p), len(kept) - 1)] for s, p in shares.items()}
+    assert len(got) == len(shares)
+
+
+def test_blocks_of_a_label_lose_no_pair(spark, monkeypatch):
+    from granary.plans import clustering
+
+    rows = [(i, i % 2, [float((i * 37 + j * 11) % 7 - 3) for j in range(64)]) for i in range(60)]
+    t = lambda name: spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    whole = sorted(map(tuple, clustering.sign_sims(t, 0.5).collect()))
+    monkeypatch.setattr(clustering, "BLOCK", 7)
+    assert sorted(map(tuple, clustering.sign_sims(t, 0.5).collect())) == whole and whole
+
+
+def test_rarest_tokens_find_every_pair_of_the_share(spark):
+    from pyspark.sql import functions as F
+
+    from granary.operators import decisions
+    from granary.plans import clustering
+
+    draw = random.Random(5)
+    text = lambda: " ".join(draw.choices(["the", "of", "song", "blue", "moon", "river", "night", "x1", "x2"], [9, 9, 5, 2, 2, 2, 2, 1, 1], k=draw.randrange(1, 8)))
+    docs = spark.createDataFrame([(i, text()) for i in range(80)] + [(80, None), (81, "")], "doc_id long, text string")
+    asked = spark.createDataFrame([(i, text()) for i in range(40)], "item_id long, text string")
+    t = {"documents": docs, "benchmark": asked}.__getitem__
+    share = decisions.jaccard(F.col("td"), F.col("tb"))
+    for least in (0.2, 0.5, 0.8):
+        found = [sorted(map(tuple, p.where(share >= least).select("doc_id", "item_id").collect())) for p in (clustering.head_pairs(t), clustering.head_pairs(t, least, least))]
+        assert found[0] == found[1] and found[0]
