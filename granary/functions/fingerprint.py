@@ -67,6 +67,16 @@ def pair_similarity(a: Column, b: Column, refine: bool = True) -> Column:
     return run(a, b)
 
 
+def window_similarity(a: Column, b: Column, a_seconds: Column, b_seconds: Column) -> Column:
+    """prefix_similarity of two encoded fingerprints, in Arrow batches; null where too little is left."""
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series, s: pd.Series, t: pd.Series) -> pd.Series:
+        return pd.Series([prefix_similarity(decode(p), decode(q), u, v) for p, q, u, v in zip(x, y, s, t, strict=True)], dtype="float64")
+
+    return run(a, b, a_seconds, b_seconds)
+
+
 def words_similarity(a: Column, b: Column) -> Column:
     """Offset-0 similarity of two word arrays as a built-in expression."""
     n = F.least(F.size(a), F.size(b))

@@ -34,6 +34,23 @@ def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def folder_of(path: Column) -> Column:
+    """What stands before the last slash of either kind; empty without one or for null."""
+    return F.regexp_extract(F.translate(F.coalesce(path, F.lit("")), "\\", "/"), "(?s)^(.*)/[^/]*$", 1)
+
+
+def shown_path(member: Column, remote: Column, local: Column) -> Column:
+    """The first path that is neither null nor empty, else the empty string."""
+    return F.coalesce(*(F.nullif(c, F.lit("")) for c in (member, remote, local)), F.lit(""))
+
+
+def stem_key(path: str | None) -> str:
+    """File name without its last extension (a leading dot starts none), composed, lower-case, single spaces."""
+    name = re.split(r"[/\\]", path or "")[-1]
+    root = name.rpartition(".")[0] or name
+    return " ".join(unicodedata.normalize("NFC", root).split()).lower()
+
+
 def filetype_of(path: Column) -> Column:
     """Lower-case suffix; names without one, or with only a leading dot, have `none`."""
     ext = F.lower(F.regexp_extract(basename(path), "[^.].*\\.([^.]+)$|^[^.]\\.([^.]+)$", 1))

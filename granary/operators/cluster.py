@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.functions.fingerprint import pair_similarity
+from granary.functions.fingerprint import pair_similarity, window_similarity
 from granary.functions.text import fold_key, udf_of
 from granary.operators.graph import connected_components
 from granary.operators.joins import band_pairs, contained
@@ -90,6 +90,20 @@ def name_edges(items: DataFrame, cfg: Config = Config()) -> DataFrame:
     return pairs.select("a", "b", "strength", (F.col("merge") & ~clash).alias("merge"))
 
 
+def name_audio(names: DataFrame, items: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """(a, b, kind, similarity): what the audio says about each name pair, for finding cut copies; it merges nothing.
+
+    `fingerprint` within the duration block, without a floor; else
+    `prefix_fingerprint`, the common beginning, where enough of it is left.
+    """
+    prints = items.where("fingerprint IS NOT NULL AND duration IS NOT NULL").select("id", "fingerprint", "duration")
+    p = names.select("a", "b").distinct().join(prints.toDF("a", "fa", "da"), "a").join(prints.toDF("b", "fb", "db"), "b")
+    p = p.withColumn("kind", F.when(F.abs(F.col("da") - F.col("db")) <= cfg.block_seconds, "fingerprint").otherwise("prefix_fingerprint"))
+    near, far = p.where("kind = 'fingerprint'"), p.where("kind <> 'fingerprint'")
+    out = near.withColumn("similarity", pair_similarity(F.col("fa"), F.col("fb"))).unionByName(far.withColumn("similarity", window_similarity(F.col("fa"), F.col("fb"), F.col("da"), F.col("db"))))
+    return out.where("similarity IS NOT NULL").select("a", "b", "kind", "similarity")
+
+
 def clusters(items: DataFrame, audio: DataFrame, names: DataFrame, splits: DataFrame, merges: DataFrame, cfg: Config = Config()) -> DataFrame:
     """(id, component, method, confidence) for every item, singletons included.
 

@@ -80,3 +80,29 @@ def workset(locations: DataFrame, cached: DataFrame, answered: DataFrame, paths:
     shelf = locations.select("dir", "stem").distinct().groupBy("dir").agg(F.slice(F.array_sort(F.collect_set("stem")), 1, siblings + 1).alias("shelf"))
     near = todo.select("stem", "dir").distinct().join(shelf, "dir").groupBy("stem").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("shelf")))).alias("near"))
     return of_stem.join(near, "stem").select("stem", "paths", F.slice(F.array_remove("near", F.col("stem")), 1, siblings).alias("siblings"))
+
+
+def resolve_pairs(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
+    """pairs with audio_hash, graphics_hash and `resolved`: both halves are known content.
+
+    pairs: audio_md5, graphics_md5, witnesses; blobs: md5 (unique where not null), content_hash.
+    """
+    half = lambda name: blobs.where("md5 IS NOT NULL").select(F.col("md5").alias(f"{name}_md5"), F.col("content_hash").alias(f"{name}_hash"))
+    out = pairs.join(half("audio"), "audio_md5", "left").join(half("graphics"), "graphics_md5", "left")
+    return out.withColumn("resolved", F.col("audio_hash").isNotNull() & F.col("graphics_hash").isNotNull())
+
+
+def placement_summary(plan: DataFrame) -> DataFrame:
+    """(kind, name, n, bytes) of a plan with a row per file: action, shard, name_source, size_bytes, archived, item.
+
+    Kinds: action (files; bytes of those moved or linked), shard (items not
+    archived) and name_source (items).
+    """
+    placed = F.when(F.col("action").isin("move", "link"), F.col("size_bytes")).otherwise(0)
+    files = plan.groupBy(F.lit("action").alias("kind"), F.col("action").alias("name")).agg(F.count("*").alias("n"), F.sum(placed).alias("bytes"))
+    items = plan.select("item", "shard", "name_source", "archived").distinct()
+
+    def count(df: DataFrame, column: str) -> DataFrame:
+        return df.groupBy(F.lit(column).alias("kind"), F.col(column).alias("name")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("bytes"))
+
+    return files.unionByName(count(items.where("NOT archived"), "shard")).unionByName(count(items, "name_source"))

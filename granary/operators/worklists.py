@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.operators import metadata
+
 SURVIVOR = ("winner", "sole_copy")
 # Layouts by what is to be asked about them, and file types that are no media.
 HARD_LAYOUTS = ("title_artist", "title_only", "title_artist_from_folder", "disc_title_only", "style_of")
@@ -118,3 +120,16 @@ def is_control(layout: Column, language: Column) -> Column:
 def in_sweep(layout: Column) -> Column:
     """Everything but what is no song; an unknown or missing layout is in."""
     return F.coalesce(layout != "non_media", F.lit(True))
+
+
+def answered(stems: DataFrame, long: DataFrame, asked: str = "llm_parse") -> DataFrame:
+    """(stem) that need not be asked: some item has an identifier, and some item has artist and title from above `asked`.
+
+    stems: stem, item; long: metadata as (item, field, source, value, confidence).
+    The two items need not be the same: a stem serves all copies of a song.
+    """
+    named = metadata.winners(long).where(F.col("field").isin("artist", "title") & (F.col("source_rank") > metadata.LADDER[asked]) & (F.trim("value") != ""))
+    named = named.groupBy("item").agg(F.count_distinct("field").alias("fields")).where("fields = 2")
+    known = long.where("field = 'song_mbid' AND value IS NOT NULL")
+    having = lambda items: stems.join(items, "item", "left_semi").select("stem")
+    return having(known).intersect(having(named))

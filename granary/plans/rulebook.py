@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from granary.functions import media, stems
 from granary.functions import text as fx
-from granary.operators import cluster, rules, worklists
+from granary.operators import cluster, items, rules, worklists
 from granary.plans.registry import query
+from granary.plans.views import LONG, long_metadata
 
 _EXTS = ("mp4", "flac", "cdg", "zip", "kar", "mov", "ogg", "7z", "txt", "none", "flv")
 _LAYOUTS = ("title_artist", "title_only", "artist_title", "disc_artist_title", "opaque", "unparsed", "non_media", "style_of", "not seen yet")
@@ -134,3 +135,46 @@ def parse_location(t):
     path = F.concat(_one_of(_FOLDERS, k), F.lit("/A/"), _one_of(_SERIES, k), F.lit("123-0"), (k % 9 + 1).cast("string"), F.lit(" - "), "p_name", F.lit(" - "), "p_brand", F.lit(" (Karaoke).mp3"))
     fields = ("artist", "title", "disc_id", "disc_track", "layout", "confidence", "folder_hints")
     return t("part").select("p_partkey", stems.located(path).alias("p")).select("p_partkey", *(f"p.{c}" for c in fields))
+
+
+@query(r"""WITH p AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_brand || '\' || upper(p_name) || ' .MP3' WHEN 1 THEN '/x/' || p_type || '/ ' || p_name || '.tar.gz' WHEN 2 THEN '.' || p_name ELSE NULL END AS s FROM part),
+ m AS (SELECT p_partkey, COALESCE(CASE WHEN p_partkey % 3 = 0 THEN '' ELSE s END, '') AS path FROM p)
+ SELECT p_partkey, path, CASE WHEN contains(replace(path, '\', '/'), '/') THEN regexp_extract(replace(path, '\', '/'), '^(.*)/[^/]*$', 1) ELSE '' END AS dir,
+  lower(trim(regexp_replace(regexp_replace(regexp_extract(replace(path, '\', '/'), '[^/]*$'), '^(.+)[.][^.]*$', '\1'), '\s+', ' ', 'g'))) AS stem FROM m""")
+def path_parts(t):
+    """The path shown of a location, its folder and the key of its stem."""
+    k = F.col("p_partkey") % 4
+    s = F.when(k == 0, F.concat("p_brand", F.lit("\\"), F.upper("p_name"), F.lit(" .MP3"))).when(k == 1, F.concat(F.lit("/x/"), "p_type", F.lit("/ "), "p_name", F.lit(".tar.gz"))).when(k == 2, F.concat(F.lit("."), "p_name"))
+    shown = t("part").select("p_partkey", fx.shown_path(F.lit(""), F.lit(None).cast("string"), F.when(F.col("p_partkey") % 3 != 0, s)).alias("path"))
+    return shown.select("p_partkey", "path", fx.folder_of(F.col("path")).alias("dir"), fx.udf_of(fx.stem_key, "string")("path").alias("stem"))
+
+
+@query(f"""WITH {LONG}, won AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item, field ORDER BY list_position({{order}}, source), COALESCE(confidence, 0) DESC, value) AS rn FROM long WHERE value IS NOT NULL) WHERE rn = 1),
+ named AS (SELECT item FROM won WHERE source IN ('manual', 'musicbrainz_text', 'musicbrainz_freetext', 'musicbrainz_artist', 'wikidata', 'spotify_text', 'itunes_text', 'deezer_text', 'title_card_ocr') AND field IN ('artist', 'title') GROUP BY item HAVING COUNT(DISTINCT field) = 2),
+ st AS (SELECT DISTINCT item % 500 AS stem, item FROM long)
+ SELECT DISTINCT stem FROM st WHERE stem IN (SELECT stem FROM st JOIN long USING (item) WHERE field = 'song_mbid' AND value IS NOT NULL) AND stem IN (SELECT stem FROM st JOIN named USING (item))""".replace(
+    "{order}", "['manual', 'musicbrainz_text', 'musicbrainz_freetext', 'musicbrainz_artist', 'wikidata', 'spotify_text', 'itunes_text', 'deezer_text', 'title_card_ocr', 'llm_parse', 'filename', 'musicbrainz_fp', 'id3']"))
+def answered_stems(t):
+    long = long_metadata(t)
+    return worklists.answered(long.select((F.col("item") % 500).alias("stem"), "item").distinct(), long)
+
+
+@query("""WITH b AS (SELECT s_suppkey AS md5, 'h' || s_suppkey AS h FROM supplier WHERE s_suppkey % 7 <> 0), p AS (SELECT l_partkey AS a, l_suppkey AS g, COUNT(*) AS witnesses FROM lineitem GROUP BY 1, 2)
+ SELECT resolved, COUNT(*) AS pairs, CAST(SUM(witnesses) AS BIGINT) AS witnesses FROM (SELECT witnesses, x.h IS NOT NULL AND y.h IS NOT NULL AS resolved FROM p LEFT JOIN b x ON x.md5 = a LEFT JOIN b y ON y.md5 = g) GROUP BY resolved""")
+def pair_resolution(t):
+    """How many pairs have both halves among the known contents."""
+    blobs = t("supplier").where("s_suppkey % 7 <> 0").select(F.col("s_suppkey").alias("md5"), F.concat(F.lit("h"), "s_suppkey").alias("content_hash"))
+    pairs = t("lineitem").groupBy(F.col("l_partkey").alias("audio_md5"), F.col("l_suppkey").alias("graphics_md5")).agg(F.count("*").alias("witnesses"))
+    return items.resolve_pairs(pairs, blobs).groupBy("resolved").agg(F.count("*").alias("pairs"), F.sum("witnesses").alias("witnesses"))
+
+
+@query("""WITH f AS (SELECT l_orderkey AS item, l_shipmode AS action, CAST(l_quantity AS BIGINT) AS size FROM (SELECT *, CASE l_linenumber % 3 WHEN 0 THEN 'move' WHEN 1 THEN 'link' ELSE 'missing' END AS l_shipmode FROM lineitem)),
+ i AS (SELECT DISTINCT item, 's' || item % 5 AS shard, 'n' || item % 3 AS source, item % 11 = 0 AS archived FROM f)
+ SELECT 'action' AS kind, action AS name, COUNT(*) AS n, CAST(SUM(CASE WHEN action = 'missing' THEN 0 ELSE size END) AS BIGINT) AS bytes FROM f GROUP BY action
+ UNION ALL SELECT 'shard', shard, COUNT(*), 0 FROM i WHERE NOT archived GROUP BY shard UNION ALL SELECT 'name_source', source, COUNT(*), 0 FROM i GROUP BY source""")
+def placement_totals(t):
+    k, line = F.col("l_orderkey"), F.col("l_linenumber") % 3
+    named = lambda letter, n: F.concat(F.lit(letter), (k % n).cast("string"))
+    action = F.when(line == 0, "move").when(line == 1, "link").otherwise("missing")
+    plan = t("lineitem").select(k.alias("item"), action.alias("action"), named("s", 5).alias("shard"), named("n", 3).alias("name_source"), F.col("l_quantity").cast("long").alias("size_bytes"), (k % 11 == 0).alias("archived"))
+    return items.placement_summary(plan)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
+import pytest
+
 from granary import schemas
 from granary.operators import items, rules, worklists
 
@@ -106,3 +111,37 @@ def test_entities(spark):
     assert en.strip_credit("שר משה פרץ ישראלי מזרחי") == "משה פרץ" and en.strip_credit("משה שר פרץ") == "משה שר פרץ"
     assert en.strip_credit("משה פרץ שרים") == "משה פרץ" and en.strip_credit("שר") == "שר"
     assert en.segment("ילדה קטנה משה פרץ שרים", ["משה פרץ"]) == ("משה פרץ", "ילדה קטנה") and en.segment("משה פרץ", ["משה פרץ"]) is None
+
+
+def test_name_pairs_have_audio_of_their_block_or_of_their_beginning(spark):
+    from granary.functions import fingerprint as fp
+    from granary.operators.cluster import Config, name_audio
+
+    draw = random.Random(9)
+    whole = [draw.getrandbits(32) for _ in range(240)]
+    prints = {1: (whole, 120.0), 2: (whole[:120], 60.0), 3: ([w ^ 1 for w in whole], 125.0), 4: (whole[:20], 12.0), 5: (None, 120.0), 6: ([draw.getrandbits(32) for _ in range(240)], 120.0)}
+    items = spark.createDataFrame([(i, fp.encode(w) if w else None, d) for i, (w, d) in prints.items()], "id long, fingerprint string, duration double")
+    pairs = [(a, b) for a in prints for b in prints if a < b]
+    names = spark.createDataFrame(pairs + pairs[:2], "a long, b long")
+    got = {(r["a"], r["b"]): (r["kind"], r["similarity"]) for r in name_audio(names, items).collect()}
+    want = {}
+    for a, b in pairs:
+        (x, s), (y, t) = prints[a], prints[b]
+        if x and y:
+            near = abs(s - t) <= Config().block_seconds
+            x, y = np.array(x, np.uint32), np.array(y, np.uint32)
+            value = fp.similarity(x, y) if near else fp.prefix_similarity(x, y, s, t)
+            if value is not None:
+                want[a, b] = ("fingerprint" if near else "prefix_fingerprint", value)
+    assert got == want and got[1, 2] == ("prefix_fingerprint", 1.0) and got[1, 3][0] == "fingerprint" and (1, 4) not in got
+    assert name_audio(names.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("path", "stem"),
+    [(None, ""), ("", ""), ("a/b\\C  D.mp3", "c d"), (".hidden", ".hidden"), ("x/.a.b", ".a"), ("no end.", "no end"), ("é .x", "é"), ("a/", "")],
+)
+def test_stem_key(path, stem):
+    from granary.functions.text import stem_key
+
+    assert stem_key(path) == stem
