@@ -60,6 +60,13 @@ def write_plan(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 
+def write_report(df: DataFrame, path: str, limit: int = 100_000) -> None:
+    """A small frame, a row per finding, as one JSON file of lines; refuses one that is no report but a table."""
+    if (rows := df.count()) > limit:
+        raise ValueError(f"{rows} rows are more than the {limit} of a report")
+    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
 def write_batches(df: DataFrame, order: list[str], path: str, size: int = 200) -> None:
     """JSON batches of `size` rows in order, one folder each; refuses to overwrite a run.
 

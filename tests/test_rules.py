@@ -145,3 +145,16 @@ def test_stem_key(path, stem):
     from granary.functions.text import stem_key
 
     assert stem_key(path) == stem
+
+
+def test_report_keeps_nulls_and_refuses_a_table(spark, tmp_path):
+    import json
+
+    from granary.sources.sinks import write_report
+
+    found = spark.createDataFrame([("files", 3, None), ("שיר", None, 0.5)], "what string, n long, share double")
+    write_report(found, f"{tmp_path}/report")
+    lines = [json.loads(x) for p in (tmp_path / "report").glob("part-*") for x in p.read_text().splitlines()]
+    assert sorted(lines, key=str) == sorted([{"what": "files", "n": 3, "share": None}, {"what": "שיר", "n": None, "share": 0.5}], key=str)
+    with pytest.raises(ValueError, match="more than"):
+        write_report(found, f"{tmp_path}/other", limit=1)
