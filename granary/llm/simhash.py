@@ -152,7 +152,8 @@ def linked(distinct: DataFrame, threshold: int) -> DataFrame:
 
     sent = distinct.select("fp").mapInArrow(send, "anchor bigint, fp bigint, home boolean")
     homes = sent.where("home").select("anchor", F.col("fp").alias("a"))
-    others = sent.select("anchor", F.col("fp").alias("b"))
+    # The planner takes what mapInArrow makes for as large as what it reads, and would broadcast the 70 rows of each fingerprint.
+    others = sent.select("anchor", F.col("fp").alias("b")).hint("merge")
     return homes.join(others, "anchor").where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)).select("a", "b")
 
 

@@ -157,6 +157,16 @@ def test_simhash(spark, docs, empty):
     assert simhash_groups(empty).count() == 0
 
 
+def test_simhash_anchors_are_never_broadcast(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from granary.llm.simhash import linked
+
+    spark.range(50).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    plan = linked(spark.read.parquet(f"{tmp_path}/fps"), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def near_copies(seed=11):
     """Texts, with edits that leave their five-word similarity on either side of 0.8, and a chain of them."""
     rng = random.Random(seed)
