@@ -40,6 +40,10 @@ def cluster_size_histogram(t):
 
 @query()
 def constrained_components(t):
+    docs = t("documents")
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        # (a + b) % 3 = 0 is a matter of the remainders of a and b.
+        return merge.constrained_bands(docs, "doc_id", "n_chars", 10, "source", 3, [(0, 0), (1, 2)])
     e = band_edges(t).select("a", "b")
     return merge.constrained_components(e, e.where("(a + b) % 3 = 0").select(F.col("a").alias("x"), F.col("b").alias("y")))
 

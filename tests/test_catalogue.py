@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
@@ -50,6 +51,30 @@ def test_constrained_merge_is_the_sequential_replay(spark):
     assert got == replay(edges, vetoes)
 
 
+def test_constrained_bands_are_the_replay_of_their_pairs(spark):
+    from granary.operators.joins import band_pairs
+    from granary.operators.merge import constrained_bands, replay
+
+    for seed in range(6):
+        rng = random.Random(seed)
+        rows = [(i, rng.choice([None, *range(0, 90 * seed + 30)]), rng.choice([None, "x", "y"])) for i in rng.sample(range(-400, 400), 160)]
+        df = spark.createDataFrame(rows, "id long, v long, w string")
+        pairs = [(r["a"], r["b"]) for r in band_pairs(df, "id", "v", 10, ["w"]).collect()]
+        got = constrained_bands(df, "id", "v", 10, "w", 3, [(0, 0), (1, 2)]).collect()
+        assert len(got) == len({r["id"] for r in got})
+        assert {r["id"]: r["component"] for r in got} == replay(pairs, [p for p in pairs if sum(p) % 3 == 0])
+    assert constrained_bands(df.limit(0), "id", "v", 10, "w", 3, [(0, 0), (1, 2)]).count() == 0
+
+
+def test_replay_with_many_vetoes_is_not_their_product_with_the_edges():
+    from granary.operators.merge import replay
+
+    began, n = time.time(), 60_000
+    got = replay([(i, i + 1) for i in range(n)], [(2 * i, 2 * i + 1) for i in range(n // 2)])
+    assert got == {i: i - (i > 0 and i % 2 == 0) for i in range(n + 1)}
+    assert time.time() - began < 60
+
+
 def test_band_and_containment_are_brute_force(spark):
     from granary.operators.joins import band_pairs, contained
 
