@@ -164,11 +164,12 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     asked = stage(asked.select(F.col("first.id").alias("i"), F.col("first.tk").alias("tk"), F.col("first.at").alias("a"), "h", "h2", "in_front", "in_back"), "lines-asked")
     # Only texts with such a line are read again. Rows equal in id and text give a line twice; distinct and minimum do not mind.
     text = F.coalesce(F.col(text_col), F.lit(""))
-    holders = asked.select("i", "tk").distinct()
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text")).join(holders, "tk").where(F.col("id").eqNullSafe(F.col("i")))
-    again = texts.select("id", "tk", F.posexplode_outer(F.split("text", "\n")).alias("at", "line"))
-    found = again.join(asked, (again["tk"] == asked["tk"]) & (again["at"] == asked["a"]) & again["id"].eqNullSafe(asked["i"]))
-    found = stage(found.select(_place_of(again).alias("place"), "h", "h2", "in_front", "in_back", words(F.col("line")).alias("w")), "lines-found")
+    # The lines asked for are listed by text, so that the other lines of a text are not dealt out with them.
+    wanted = asked.groupBy("i", "tk").agg(F.collect_list(F.struct("a", "h", "h2", "in_front", "in_back")).alias("wanted"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"))
+    held = texts.join(wanted.withColumnRenamed("tk", "wk"), (F.col("tk") == F.col("wk")) & F.col("id").eqNullSafe(F.col("i")))
+    again = held.select("id", "tk", F.split("text", "\n").alias("ls"), F.explode("wanted").alias("q")).select("id", "tk", F.col("q.a").alias("at"), F.element_at("ls", F.col("q.a") + 1).alias("line"), "q.*")
+    found = stage(again.select(_place().alias("place"), "h", "h2", "in_front", "in_back", words(F.col("line")).alias("w")), "lines-found")
 
     variants = stage(_variants(found), "lines-variants")
     near = stage(_verified(_meetings(variants), found).select("h", "h2").distinct(), "lines-near")
@@ -177,10 +178,6 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return stage(gone.groupBy("id", "tk").agg(F.collect_set("at").alias("drops")), "lines-dropped")
 
 
-def _place_of(df: DataFrame) -> Column:
-    return F.struct(df["id"].isNull().alias("x"), df["id"].alias("id"), df["tk"].alias("tk"), df["at"].alias("at"))
-
-
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with repeated lines removed, plus n_lines and n_dropped_lines.
 

@@ -120,10 +120,12 @@ def stage_simhash(docs: DataFrame) -> DataFrame:
     """The document of least id, null last, of each group of near copies (see simhash.near_groups).
 
     Of rows equal in id and text one stays; rows that share an id, or have none, but differ in text are different documents."""
-    groups = near_groups(docs).select(F.col("id").alias("__id"), F.col("node").alias("__node"))
+    found = near_groups(docs)
+    groups = found.select(F.col("id").alias("__id"), F.col("node").alias("__node"))
     keyed = docs.withColumn("__text", node_of(F.col("text")))
     keep = keyed.join(groups, (F.col("__text") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    return keep.dropDuplicates(["doc_id", "__node"])
+    # Texts are not moved once more to look for rows that are known not to be there.
+    return keep if found.where("n > 1").isEmpty() else keep.dropDuplicates(["doc_id", "__node"])
 
 
 @_aside

@@ -312,7 +312,7 @@ def _components(links: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, node): of each group of near copies the least id, null last, and its node_of(text).
+    """(id, node, n): of each group of near copies the least id, null last, its node_of(text), and the number of rows equal in both.
 
     Words are lower-cased in A-Z; null and empty texts are equal. Groups are
     the connected components over links of near copies. One row a group; an
@@ -341,7 +341,8 @@ def _near_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     mask = F.xxhash64("anchor")
     lot = F.col("node").bitwiseXOR(mask)
     shared = sent.groupBy("anchor").agg(F.min(lot).alias("least"), F.max(lot).alias("most")).where("least <> most").select("anchor", F.col("least").bitwiseXOR(mask).alias("first"))
-    members = stage(sent.join(shared, "anchor"), "near-members")
+    # As in linked(): COVERINGS rows a node, which the planner takes for one.
+    members = stage(sent.join(shared.hint("merge"), "anchor"), "near-members")
 
     star = stage(members.where("node <> first").select(*_pair("node", "first")).distinct(), "near-star")
     close = stage(_near(star, nodes), "near-close")
@@ -364,6 +365,7 @@ def _near_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     cross = stage(x.join(y, apart).select("a", "b").distinct(), "near-cross")
     links = links.unionByName(stage(_verified(cross, sets), "near-links"))
 
-    firsts = rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id")).alias("first"))
+    counted = rows.groupBy("node", "id").agg(F.count("*").alias("n"))
+    firsts = counted.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "n")).alias("first"))
     best = _components(links, firsts).groupBy("root").agg(F.min(F.struct("first", "node")).alias("m"))
-    return stage(best.select(F.col("m.first.id").alias("id"), F.col("m.node").alias("node")), "near-groups")
+    return stage(best.select(F.col("m.first.id").alias("id"), F.col("m.node").alias("node"), F.col("m.first.n").alias("n")), "near-groups")

@@ -157,6 +157,17 @@ def test_simhash(spark, docs, empty):
     assert simhash_groups(empty).count() == 0
 
 
+def test_near_dedup_moves_texts_once_more_only_where_rows_are_repeated(spark):
+    from granary.llm.queries import STAGES
+
+    stage_simhash = dict(STAGES)["simhash_near_dedup"]
+    rows = [(i, f"text number {i} of a few", "en", "s", 20) for i in range(20)]
+    for more, aggregates in ([], False), (rows[:1], True):
+        out = stage_simhash(spark, spark.createDataFrame(rows + more, "doc_id long, text string, lang string, source string, n_chars long"), "")
+        assert ("Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()) is aggregates
+        assert sorted(r["doc_id"] for r in out.collect()) == list(range(20))
+
+
 def test_simhash_anchors_are_never_broadcast(spark, tmp_path):
     from pyspark.sql import functions as F
 
